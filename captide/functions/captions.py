@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
@@ -23,6 +24,16 @@ VOID_ELEMENTS = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex "
     "keygen link menuitem meta nextid param source spacer track wbr".split()
 )
+# Tags so plain that there is only one way to read them. Raw-text elements, and
+# entities where an attribute matters, are left to the library.
+_PLAIN_OPENING = re.compile(
+    r"""<(?!(?:iframe|noembed|noframes|noscript|plaintext|script|style|textarea|title|xmp)\b)([a-z][a-z0-9]*)"""
+    r"""((?:[ \t\n]+[a-z][a-z0-9_-]*(?:="[^"]*"|='[^']*')?)*)[ \t\n]*(/?)>""",
+    re.IGNORECASE | re.ASCII,
+)
+_PLAIN_CLOSING = re.compile(r"</([a-z][a-z0-9]*)>", re.IGNORECASE | re.ASCII)
+_PLAIN_ATTRIBUTE = re.compile(r"""([a-z][a-z0-9_-]*)(?:="([^"]*)"|='([^']*)')?""", re.IGNORECASE | re.ASCII)
+
 # Elements whose text is not part of the page's readable text.
 SILENT_ELEMENTS = frozenset("rp rt script style template".split())
 
@@ -46,6 +57,38 @@ class _CaptionReader(HTMLParser):
         self._silent = 0
         self._run: list[str] = []
 
+    def parse_starttag(self, i):
+        """Read a plain tag with one match; attributes only where they matter."""
+        plain = _PLAIN_OPENING.match(self.rawdata, i)
+        if plain is None:
+            return super().parse_starttag(i)
+        name, written, closed = plain.groups()
+        name = name.lower()
+        attributes = []
+        if written and (name == "div" or name == "a"):
+            if "&" in written:
+                return super().parse_starttag(i)
+            attributes = [
+                (key.lower(), single if double is None else double)
+                for key, double, single in (found.groups() for found in _PLAIN_ATTRIBUTE.finditer(written))
+            ]
+        if closed:
+            self.handle_startendtag(name, attributes)
+        else:
+            self.handle_starttag(name, attributes)
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = _PLAIN_CLOSING.match(self.rawdata, i) if self.cdata_elem is None else None
+        if plain is None:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain.group(1).lower())
+        return plain.end()
+
+    def updatepos(self, i, j):
+        """Line numbers are not needed."""
+        return j
+
     def handle_starttag(self, tag, attrs):
         self._end_text()
         if tag in VOID_ELEMENTS:

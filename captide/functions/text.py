@@ -10,15 +10,16 @@ from pyspark.sql import types as T
 # linear and free of recursion on long texts.
 _LITERAL = r"""^b(?:'([^'\\]*+(?:\\.[^'\\]*+)*+)'|"([^"\\]*+(?:\\.[^"\\]*+)*+)")\z"""
 
-# The escapes of a Python bytes literal, as percent codes.
+# The escapes of a Python bytes literal, as percent codes. A doubled
+# backslash goes first, so that what is left starts an escape.
 _ESCAPES = [
-    (r"\\\\", "%5C"),
-    (r"\\n", "%0A"),
-    (r"\\r", "%0D"),
-    (r"\\t", "%09"),
-    (r"\\'", "%27"),
-    (r"\\\"", "%22"),
-    (r"\\x([0-9a-fA-F]{2})", "%$1"),
+    ("\\\\", "%5C"),
+    ("\\n", "%0A"),
+    ("\\r", "%0D"),
+    ("\\t", "%09"),
+    ("\\'", "%27"),
+    ('\\"', "%22"),
+    ("\\x", "%"),
 ]
 
 
@@ -43,11 +44,9 @@ def strip_repr(text: Column) -> Column:
     """
     is_literal = text.rlike(_LITERAL)
     body = F.substring(text, F.lit(3), F.length(text) - 3)
-    for plain, code in (("%", "%25"), ("+", "%2B")):
+    for plain, code in [("%", "%25"), ("+", "%2B"), *_ESCAPES]:
         body = F.replace(body, F.lit(plain), F.lit(code))
-    for pattern, code in _ESCAPES:
-        body = F.regexp_replace(body, pattern, code)
-    return F.when(is_literal, F.url_decode(body)).otherwise(text)
+    return F.when(is_literal, F.coalesce(F.try_url_decode(body), text)).otherwise(text)
 
 
 def strip_repr_columns(df: DataFrame, pattern: str | None = None) -> DataFrame:

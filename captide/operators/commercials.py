@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from captide.editions import Edition
 from captide.functions.captions import parse_containers, timed_segments
 from captide.operators.skew import balanced_join
-from captide.session import broadcast_if_small
+from captide.session import broadcast_if_small, spread
 
 
 def first_records(commercials: DataFrame, key: str = "archive_id", pos: str = "pos") -> DataFrame:
@@ -50,34 +50,41 @@ def touches(segment: Column, interval: Column) -> Column:
     return F.coalesce(touching, F.lit(False))
 
 
-def cut_segments(shows: DataFrame, segments: str = "segments", intervals: str = "intervals") -> DataFrame:
-    """Add ``kept`` (segments outside commercials) and ``cut_error`` to each show.
+def sound_intervals(records: DataFrame, intervals: str = "intervals") -> DataFrame:
+    """Replace ``intervals`` by those before the first that is no pair, and ``is_broken``.
 
-    Both arrays sit in the same row, so nothing is shuffled. Intervals are tried in
-    order and one that is no pair counts as an error as soon as a segment gets to it,
-    that is, if a segment is left over after the sound intervals before it. A segment
-    without text is an error only if it is kept.
+    Intervals are tried in order, so the ones behind a broken one are never reached.
+    Done before the join, once per record and not once per segment.
     """
     record = F.col(intervals)
     first_broken = F.array_position(F.transform(record, _is_broken), True)
     sound = F.when(first_broken > 0, F.slice(record, F.lit(1), (first_broken - 1).cast("int"))).otherwise(record)
-    prepared = shows.withColumns(
+    return records.withColumns(
         {
-            "__sound": F.coalesce(sound, F.array().cast("array<array<double>>")),
-            "__broken": F.coalesce(first_broken > 0, F.lit(True)),
+            intervals: F.coalesce(sound, F.array().cast("array<array<double>>")),
+            "is_broken": F.coalesce(first_broken > 0, F.lit(True)),
         }
     )
-    kept = prepared.withColumn(
-        "kept",
-        F.filter(
-            segments,
-            lambda segment: ~F.exists(F.col("__sound"), lambda interval: touches(segment, interval)),
-        ),
+
+
+def cut_segments(shows: DataFrame, segments: str = "segments", intervals: str = "intervals") -> DataFrame:
+    """Replace both arrays by ``kept`` (segments outside commercials) and add ``cut_error``.
+
+    Both sit in the same row, so nothing is shuffled. A broken interval is an error
+    as soon as a segment gets to it, that is, if one is left over after the sound
+    intervals before it. A segment without text is an error only if it is kept.
+    """
+    kept = F.filter(
+        segments,
+        lambda segment: ~F.exists(intervals, lambda interval: touches(segment, interval)),
     )
-    problem = F.when(F.col("__broken") & (F.size("kept") > 0), "interval is not a pair").when(
+    others = [F.col(f"`{name}`") for name in shows.columns if name not in (segments, intervals)]
+    # A generator of one row: later uses of ``kept`` read its result and do not cut again.
+    cut = shows.select(*others, F.inline(F.array(F.struct(kept.alias("kept")))))
+    problem = F.when(F.col("is_broken") & (F.size("kept") > 0), "interval is not a pair").when(
         F.exists("kept", lambda left_over: left_over["text"].isNull()), "segment without snippet"
     )
-    return kept.withColumn("cut_error", problem).drop("__sound", "__broken")
+    return cut.withColumn("cut_error", problem).drop("is_broken")
 
 
 def joined_text(segments: Column) -> Column:
@@ -87,7 +94,7 @@ def joined_text(segments: Column) -> Column:
 
 def segment_pages(pages: DataFrame, edition: Edition, content: str = "content") -> DataFrame:
     """Replace ``content`` by ``segments`` and ``page_error``: one parse per page."""
-    parsed = pages.withColumn("__page", parse_containers(F.col(content))).drop(content)
+    parsed = spread(pages).withColumn("__page", parse_containers(F.col(content))).drop(content)
     return parsed.withColumns(
         {
             "segments": timed_segments(F.col("__page.containers"), edition),
@@ -103,11 +110,11 @@ def examine_pages(pages: DataFrame, commercials: DataFrame, edition: Edition) ->
     before parsing and nothing is shuffled. Otherwise pages are parsed first, so
     the join moves segments and not raw pages.
     """
-    records = first_records(commercials.filter(F.col("archive_id").isNotNull()))
+    records = sound_intervals(first_records(commercials.filter(F.col("archive_id").isNotNull())))
     records, small = broadcast_if_small(records)
     pages = pages.select("archive_id", "content")
     if small:
-        shows = segment_pages(pages.join(records, "archive_id"), edition)
+        shows = segment_pages(spread(pages).join(records, "archive_id"), edition)
     else:
         shows = balanced_join(segment_pages(pages, edition), records, "archive_id", right_is_unique=True)
     cut = cut_segments(shows)

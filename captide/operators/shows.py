@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from captide.functions.captions import parse_snippets
 from captide.functions.tags import parse_tags, tag_value
 from captide.operators.skew import balanced_join
-from captide.session import broadcast_if_small
+from captide.session import broadcast_if_small, spread
 
 MAX_TAGS = 20_000
 
 
 def tag_documents(documents: DataFrame, compat: bool = False) -> DataFrame:
     """``(identifier, tags, error, truncated)`` of metadata documents."""
+    documents = spread(documents.select("identifier", "content"))
     parsed = documents.select("identifier", parse_tags(F.col("content"), compat).alias("parsed"))
     return parsed.select("identifier", "parsed.tags", "parsed.error", "parsed.truncated")
 
@@ -34,6 +35,7 @@ def caption_texts(pages: DataFrame) -> DataFrame:
 
     Pages without captions have an empty text.
     """
+    pages = spread(pages.select("identifier", "content"))
     parsed = pages.select("identifier", parse_snippets(F.col("content")).alias("page"))
     return parsed.select("identifier", F.array_join("page.snippets", "").alias("text"), F.col("page.error").alias("error"))
 

@@ -20,6 +20,7 @@ RECOMMENDED_CONF = {
 }
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -64,3 +65,15 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple
     if payload_bytes(df) <= max_bytes:
         return F.broadcast(df), True
     return df, False
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input before it is parsed in Python.
+
+    A few files, or files with a single row group, make fewer tasks than there are
+    cores. The shuffle is only made while Spark's estimate for the input stays below
+    a fixed amount per core; larger inputs have tasks enough and are left in place.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if estimate <= cores * SPREAD_BYTES_PER_CORE else df

@@ -15,7 +15,8 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
 def read_corpus(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """A quoted CSV corpus, every column a string; gzip is known by the file name.
 
-    Texts hold line breaks, so a file is not split: keep release files bounded.
+    Empty cells are NULL, quoted or not; tokens such as ``NA`` are text. Texts hold
+    line breaks, so a file is not split: keep release files bounded.
     """
     names = csv_columns(spark, path) if columns is None else columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in names])

@@ -17,8 +17,7 @@ def with_identifier(files: DataFrame, kind: str) -> DataFrame:
     name = F.element_at(F.split("path", "/"), -1)
     is_gz = name.endswith(GZIP_SUFFIX)
     ending = F.when(is_gz, F.lit(len(suffix + GZIP_SUFFIX))).otherwise(F.lit(len(suffix)))
-    # File names in paths are percent-encoded; a plus sign stands for itself.
-    identifier = F.url_decode(F.replace(F.substring(name, F.lit(1), F.length(name) - ending), F.lit("+"), F.lit("%2B")))
+    identifier = F.substring(name, F.lit(1), F.length(name) - ending)
     return files.withColumns({"identifier": identifier, "is_gz": is_gz})
 
 

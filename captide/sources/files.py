@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote
 
 from pyarrow import fs
 
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a URI as Spark writes it; bare paths are local."""
-    parts = urlparse(uri)
-    if parts.scheme in ("", "file"):
-        return fs.LocalFileSystem(), unquote(parts.path) if parts.scheme else uri
-    return fs.FileSystem.from_uri(uri)
+    """The file system and path of a location as Spark names it; bare paths are local."""
+    if "://" not in uri or uri.startswith("file://"):
+        return fs.LocalFileSystem(), uri.removeprefix("file://").removeprefix("file:")
+    return fs.FileSystem.from_uri(quote(uri, safe="/:@?&=+,;"))
