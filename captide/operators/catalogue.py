@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from captide.operators.ordering import first_in_order
+
 # The collection that is searched and the default row limit.
 COLLECTION = "tvarchive"
 SEARCH_LIMIT = 1_500_000
@@ -20,7 +22,7 @@ def search_catalogue(
     found = shows.filter(F.array_contains("collection", collection))
     if start_date:
         found = found.filter(F.col("date") >= start_date)
-    return found.select("identifier").orderBy("identifier").limit(limit)
+    return first_in_order(found.select("identifier"), "identifier", limit)
 
 
 def lookup(df: DataFrame, column: str, values: list) -> DataFrame:

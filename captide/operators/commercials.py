@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from captide.editions import Edition
 from captide.functions.captions import parse_containers, timed_segments
-from captide.operators.skew import balanced_join
 from captide.session import broadcast_if_small, spread
 
 
@@ -108,7 +107,9 @@ def examine_pages(pages: DataFrame, commercials: DataFrame, edition: Edition) ->
 
     If the records are small enough to broadcast, pages without one are dropped
     before parsing and nothing is shuffled. Otherwise pages are parsed first, so
-    the join moves segments and not raw pages.
+    the join moves segments and not raw pages; if at least the identifiers can be
+    broadcast, pages without a record are dropped before that. A page meets one
+    record at most, so a show with many pages is left to adaptive skew handling.
     """
     records = sound_intervals(first_records(commercials.filter(F.col("archive_id").isNotNull())))
     records, small = broadcast_if_small(records)
@@ -116,7 +117,10 @@ def examine_pages(pages: DataFrame, commercials: DataFrame, edition: Edition) ->
     if small:
         shows = segment_pages(spread(pages).join(records, "archive_id"), edition)
     else:
-        shows = balanced_join(segment_pages(pages, edition), records, "archive_id", right_is_unique=True)
+        wanted, small = broadcast_if_small(records.select("archive_id"))
+        if small:
+            pages = pages.join(wanted, "archive_id", "left_semi")
+        shows = segment_pages(pages, edition).join(records, "archive_id")
     cut = cut_segments(shows)
     return cut.select("archive_id", "kept", F.coalesce("page_error", "cut_error").alias("error"))
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from captide.session import staged
+
 # A key counts as heavy from this many rows on; shows carry whole caption texts.
 HEAVY_ROWS = 20_000
 MAX_HEAVY_KEYS = 500
@@ -35,7 +37,7 @@ def _salted(df: DataFrame, key: str, counts: dict, heavy_rows: int, salt: str) -
     """Give each row of a heavy key one of its salts, 0 to all other rows.
 
     Salts follow the row number within the task, so copies of a row are spread
-    too. Input that comes from files gets the same salts when a task is repeated.
+    too. The input comes from files, so a repeated task gives the same salts.
     """
     if not counts:
         return df.withColumn(salt, F.lit(0).cast("bigint"))
@@ -67,6 +69,9 @@ def balanced_join(
     adaptive execution looks at, does not show that. The parts are disjoint in the
     key, so their union is the whole result. Semi and anti joins have no such
     growth and are left to adaptive skew handling.
+
+    Inputs are read once for the sketch, by their key alone, and once for each part:
+    store what is costly to compute before joining it.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"inner or left join expected, not {how!r}")
@@ -76,7 +81,7 @@ def balanced_join(
         return left.join(right, key, how)
 
     def rows(df: DataFrame, counts) -> DataFrame:
-        return df.filter(F.col(key).isin(list(counts)))
+        return staged(df.filter(F.col(key).isin(list(counts))), "heavy")
 
     def other_rows(df: DataFrame, counts) -> DataFrame:
         # NULL keys match nothing and stay on the plain side.

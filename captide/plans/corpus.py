@@ -11,9 +11,12 @@ from captide.sinks.corpus import show_columns
 from captide.sources.documents import read_documents
 
 
-def compact_documents(spark: SparkSession, folder: str, kind: str, out: str) -> DataFrame:
-    """Gather one file per show into Parquet once; everything later reads that."""
-    read_documents(spark, folder, kind).write.parquet(out)
+def compact_documents(spark: SparkSession, folder: str, kind: str, out: str, prefix: str = "") -> DataFrame:
+    """Gather one file per show into Parquet once; everything later reads that.
+
+    Rounds with different prefixes of the file names add to the same table.
+    """
+    read_documents(spark, folder, kind, prefix).write.mode("append").parquet(out)
     return spark.read.schema("identifier STRING, content BINARY").parquet(out)
 
 

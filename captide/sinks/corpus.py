@@ -66,13 +66,18 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     spread.write.bucketBy(buckets, key).sortBy(key).format("parquet").mode("overwrite").saveAsTable(table)
 
 
-def write_release(df: DataFrame, path: str, max_rows: int, file_format: str = "parquet") -> None:
+def write_release(
+    df: DataFrame, path: str, max_rows: int, file_format: str = "parquet", gather: bool = False
+) -> None:
     """Write one folder per edition in files of at most ``max_rows`` rows.
 
-    The rebalance hint groups rows by edition and lets adaptive execution split an
-    edition that is large, so one edition never means one task.
+    Rows are written where they are. ``gather`` first brings an edition together, for
+    input whose tasks hold few rows each; the rebalance hint lets adaptive execution
+    split a large edition again, so one edition never means one task.
     """
-    writer = df.hint("rebalance", "edition").write.partitionBy("edition").option("maxRecordsPerFile", max_rows)
+    if gather:
+        df = df.hint("rebalance", "edition")
+    writer = df.write.partitionBy("edition").option("maxRecordsPerFile", max_rows)
     if file_format == "csv":
         writer = writer.options(**CSV_OPTIONS).option("compression", "gzip")
     writer.format(file_format).save(path)
@@ -85,5 +90,5 @@ def release_manifest(release: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("bytes"),
     )
-    counted = files.groupBy("edition", "file").agg(F.count("*").alias("rows"), F.first("bytes").alias("bytes"))
+    counted = files.groupBy("edition", "file").agg(F.count("*").alias("rows"), F.max("bytes").alias("bytes"))
     return counted.select("edition", "file", "rows", "bytes").orderBy("edition", "file")

@@ -14,6 +14,7 @@ from captide.operators.commercials import shows_with_records
 from captide.sources.files import locate
 
 _BATCH_BYTES = 16 * 1024 * 1024
+_TASK_BYTES = 64 * 1024 * 1024
 _MEMBERS = pa.schema([("name", pa.string()), ("content", pa.binary())])
 _INDEX = pa.schema([("path", pa.string()), ("name", pa.string()), ("start", pa.int64()), ("size", pa.int64())])
 
@@ -89,6 +90,10 @@ def _read_ranges(batches):
     yield from _in_batches(members(), _MEMBERS, lambda row: len(row["content"]))
 
 
+def _one_per_task(archives: DataFrame) -> DataFrame:
+    return archives.select("path").repartitionByRange(max(1, archives.count()), "path")
+
+
 def read_members(archives: DataFrame, edition: Edition, wanted: DataFrame | None = None) -> DataFrame:
     """``(archive_id, content)`` of the pages in compressed archives, one task per archive.
 
@@ -96,8 +101,7 @@ def read_members(archives: DataFrame, edition: Edition, wanted: DataFrame | None
     number of archives. Write the result once as Parquet and work from there. Members
     that are gzip files themselves stay so; the page parsers inflate them.
     """
-    one_each = archives.select("path").repartition(max(1, archives.count()))
-    members = one_each.mapInArrow(_stream_members, "name STRING, content BINARY")
+    members = _one_per_task(archives).mapInArrow(_stream_members, "name STRING, content BINARY")
     return _pages(members, edition, wanted)
 
 
@@ -108,13 +112,15 @@ def read_plain_members(archives: DataFrame, edition: Edition, wanted: DataFrame
     reduced to the wanted shows and spread by position, so one archive that holds
     most of the pages is read by many tasks and unwanted bytes are not read.
     """
-    one_each = archives.select("path").repartition(max(1, archives.count()))
-    index = one_each.mapInArrow(_index_members, "path STRING, name STRING, start BIGINT, size BIGINT")
+    index = _one_per_task(archives).mapInArrow(_index_members, "path STRING, name STRING, start BIGINT, size BIGINT")
     index = index.withColumn("archive_id", member_archive_id(F.col("name"), edition))
     index = index.filter(F.col("archive_id").isNotNull())
     if wanted is not None:
         index = shows_with_records(index, wanted)
-    spread = index.repartitionByRange("path", "start").sortWithinPartitions("path", "start")
+    # The rows are short but stand for many bytes, so the number of tasks is given.
+    stored = archives.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, -(-stored // _TASK_BYTES))
+    spread = index.repartitionByRange(tasks, "path", "start").sortWithinPartitions("path", "start")
     members = spread.select("path", "name", "start", "size").mapInArrow(_read_ranges, "name STRING, content BINARY")
     return _pages(members, edition, None)
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -28,8 +27,3 @@ def read_corpus(spark: SparkSession, path: str, columns: list[str] | None = None
         .option("escape", '"')
         .csv(path)
     )
-
-
-def preview(df: DataFrame, n: int, columns: list[str], order_by: str) -> DataFrame:
-    """The first ``n`` rows in a stated order, with only the named columns."""
-    return df.select(*columns, F.col(order_by).alias("__order")).orderBy("__order").limit(n).drop("__order")

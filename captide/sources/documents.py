@@ -21,26 +21,30 @@ def with_identifier(files: DataFrame, kind: str) -> DataFrame:
     return files.withColumns({"identifier": identifier, "is_gz": is_gz})
 
 
-def scan_documents(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    """Every document of one kind in a folder: ``(identifier, is_gz, path, content)``."""
+def scan_documents(spark: SparkSession, folder: str, kind: str, prefix: str = "") -> DataFrame:
+    """Every document of one kind in a folder: ``(identifier, is_gz, path, content)``.
+
+    The driver holds the list of files. A folder with more files than it can hold is
+    gathered in rounds, each with another ``prefix`` of the file names.
+    """
     suffix = SUFFIXES[kind]
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}{{,{GZIP_SUFFIX}}}")
+        .option("pathGlobFilter", f"{prefix}*{suffix}{{,{GZIP_SUFFIX}}}")
         .option("recursiveFileLookup", True)
         .load(folder)
     )
     return with_identifier(files, kind).select("identifier", "is_gz", "path", "content")
 
 
-def read_documents(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+def read_documents(spark: SparkSession, folder: str, kind: str, prefix: str = "") -> DataFrame:
     """One document per show: the plain file wins over the compressed one.
 
     Shows stored in both forms are found from file names alone. Only compressed
     documents are compared with that list, so plain content never moves, and
     compressed content moves only when the list is too large to broadcast.
     """
-    files = scan_documents(spark, folder, kind)
+    files = scan_documents(spark, folder, kind, prefix)
     names = files.select("identifier", "is_gz")
     both = (
         names.groupBy("identifier")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from captide.editions import edition
 from captide.functions import captions, identifiers, tags, text
-from captide.operators import catalogue, commercials, release, shows
+from captide.operators import catalogue, commercials, ordering, release, shows
 from captide.plans import corpus as plan
 from captide.session import shared_folder, staged, tune
 from captide.sinks import corpus as sink
@@ -91,7 +91,7 @@ def corpus_csv_roundtrip(spark, sf_dir):
 
 @query
 def preview_projection(spark, sf_dir):
-    return corpus_source.preview(inputs.shows(spark, sf_dir), 1000, ["identifier", "text"], "doc_id")
+    return ordering.preview(inputs.shows(spark, sf_dir), 1000, ["identifier", "text"], "doc_id")
 
 
 @query

@@ -50,7 +50,8 @@ def test_release_files_are_bounded_and_listed(spark, tmp_path):
     assert all(r["bytes"] > 0 for r in manifest)
     assert [r["file"] for r in manifest] == sorted(r["file"] for r in manifest)
     csv = str(tmp_path / "csv")
-    sink.write_release(rows, csv, max_rows=500, file_format="csv")
+    sink.write_release(rows.repartition(20), csv, max_rows=500, file_format="csv", gather=True)
+    assert len(list((tmp_path / "csv").glob("*/*.csv.gz"))) < 20
     assert spark.read.option("header", True).csv(csv).count() == 1000
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from captide.editions import edition
-from captide.operators import catalogue, commercials
+from captide.operators import catalogue, commercials, ordering
 from captide.sinks.documents import write_documents
 from captide.sources import archives, corpus
 from captide.sources.commercials import read_commercials
@@ -142,14 +142,23 @@ def test_corpus_csv(spark, tmp_path):
 
 def test_preview(spark, plan_of):
     df = spark.range(100).select(F.col("id"), (F.col("id") * 2).alias("b"), F.lit("x").alias("c"))
-    shown = corpus.preview(df, 3, ["b"], "id")
+    shown = ordering.preview(df, 3, ["b"], "id")
     assert [tuple(r) for r in shown.collect()] == [(0,), (2,), (4,)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 499, 500, 900, 1000, 5000])
+def test_many_first_rows(spark, n):
+    df = spark.range(1000).select(F.concat(F.lit("id"), (F.col("id") * 7 % 1000).cast("string")).alias("k")).repartition(5)
+    expected = sorted(f"id{i}" for i in range(1000))[:n]
+    large = ordering.first_in_order(df, "k", n, top_rows=-1)
+    assert sorted(r["k"] for r in large.collect()) == expected
+    assert [r["k"] for r in ordering.first_in_order(df, "k", n).collect()] == expected
+
+
 def test_catalogue_search(spark):
     rows = [("b", ["tvarchive", "x"], "2020-01-02"), ("a", ["tvarchive"], "2020-01-01"), ("c", ["x"], "2021-01-01"), ("d", None, None)]
     shows = spark.createDataFrame(rows, "identifier STRING, collection ARRAY<STRING>, date STRING")
-    assert [r[0] for r in catalogue.search_catalogue(shows).collect()] == ["a", "b"]
+    assert sorted(r[0] for r in catalogue.search_catalogue(shows).collect()) == ["a", "b"]
     assert [r[0] for r in catalogue.search_catalogue(shows, "2020-01-02").collect()] == ["b"]
     assert [r[0] for r in catalogue.search_catalogue(shows, limit=1).collect()] == ["a"]
 
