@@ -70,12 +70,12 @@ def assemble_shows(identifiers: DataFrame, tagged: DataFrame, texts: DataFrame)
     return balanced_join(identifiers.select("identifier"), documents, "identifier", right_is_unique=True)
 
 
-def listed_documents(documents: DataFrame, identifiers: DataFrame) -> DataFrame:
-    """Documents of listed shows, so that only these are parsed.
+def listed_documents(identifiers: DataFrame, *documents: DataFrame) -> list[DataFrame]:
+    """Documents of each kind that belong to listed shows, so that only these are parsed.
 
     Applied when the list is small enough to broadcast. With a larger list nothing
     is dropped here, as raw documents would have to be shuffled; the join after
     parsing removes the rest.
     """
     wanted, small = broadcast_if_small(identifiers.select("identifier").distinct())
-    return documents.join(wanted, "identifier", "left_semi") if small else documents
+    return [kind.join(wanted, "identifier", "left_semi") if small else kind for kind in documents]

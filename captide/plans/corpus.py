@@ -28,8 +28,9 @@ def parse_shows(identifiers: DataFrame, meta: DataFrame, pages: DataFrame, work:
     """
     spark = identifiers.sparkSession
     parsed_path, texts_path = f"{work}/tags", f"{work}/texts"
-    shows.tag_documents(shows.listed_documents(meta, identifiers)).write.parquet(parsed_path)
-    shows.caption_texts(shows.listed_documents(pages, identifiers)).write.parquet(texts_path)
+    meta, pages = shows.listed_documents(identifiers, meta, pages)
+    shows.tag_documents(meta).write.parquet(parsed_path)
+    shows.caption_texts(pages).write.parquet(texts_path)
     parsed, texts = spark.read.parquet(parsed_path), spark.read.parquet(texts_path)
     tagged = shows.good_tags(parsed)
     names = shows.tag_names(tagged)

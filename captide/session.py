@@ -71,9 +71,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a small input before it is parsed in Python.
 
     A few files, or files with a single row group, make fewer tasks than there are
-    cores. The shuffle is only made while Spark's estimate for the input stays below
-    a fixed amount per core; larger inputs have tasks enough and are left in place.
+    cores. The shuffle is only made while the sources of ``df`` together stay below a
+    fixed amount per core; larger inputs have tasks enough and are left in place.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    sources = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    estimate = sum(int(str(sources.apply(n).stats().sizeInBytes())) for n in range(sources.size()))
     return df.repartition(2 * cores) if estimate <= cores * SPREAD_BYTES_PER_CORE else df

@@ -11,48 +11,37 @@ from captide.session import broadcast_if_small
 SUFFIXES = {"meta": META_SUFFIX, "page": PAGE_SUFFIX}
 
 
-def with_identifier(files: DataFrame, kind: str) -> DataFrame:
-    """Add ``identifier`` and ``is_gz`` from the file name of a binary file scan."""
-    suffix = SUFFIXES[kind]
-    name = F.element_at(F.split("path", "/"), -1)
-    is_gz = name.endswith(GZIP_SUFFIX)
-    ending = F.when(is_gz, F.lit(len(suffix + GZIP_SUFFIX))).otherwise(F.lit(len(suffix)))
-    identifier = F.substring(name, F.lit(1), F.length(name) - ending)
-    return files.withColumns({"identifier": identifier, "is_gz": is_gz})
-
-
-def scan_documents(spark: SparkSession, folder: str, kind: str, prefix: str = "") -> DataFrame:
-    """Every document of one kind in a folder: ``(identifier, is_gz, path, content)``.
-
-    The driver holds the list of files. A folder with more files than it can hold is
-    gathered in rounds, each with another ``prefix`` of the file names.
+def scan_documents(
+    spark: SparkSession, folder: str, kind: str, compressed: bool = False, prefix: str = ""
+) -> DataFrame:
+    """Documents of one kind and form in a folder: ``(identifier, path, content)``.
+
+    Only files of that form are opened. The driver holds the list of files: a folder
+    with more files than it can hold is gathered in rounds, each with another
+    ``prefix`` of the file names.
     """
-    suffix = SUFFIXES[kind]
+    ending = SUFFIXES[kind] + (GZIP_SUFFIX if compressed else "")
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"{prefix}*{suffix}{{,{GZIP_SUFFIX}}}")
-        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", f"{prefix}*{ending}")
         .load(folder)
     )
-    return with_identifier(files, kind).select("identifier", "is_gz", "path", "content")
+    name = F.element_at(F.split("path", "/"), -1)
+    identifier = F.substring(name, F.lit(1), F.length(name) - len(ending))
+    return files.select(identifier.alias("identifier"), "path", "content")
 
 
 def read_documents(spark: SparkSession, folder: str, kind: str, prefix: str = "") -> DataFrame:
-    """One document per show: the plain file wins over the compressed one.
+    """``(identifier, content)``, one document per show: the plain file wins over the compressed one.
 
     Shows stored in both forms are found from file names alone. Only compressed
     documents are compared with that list, so plain content never moves, and
     compressed content moves only when the list is too large to broadcast.
     """
-    files = scan_documents(spark, folder, kind, prefix)
-    names = files.select("identifier", "is_gz")
-    both = (
-        names.groupBy("identifier")
-        .agg(F.min("is_gz").alias("has_only_gz"), F.max("is_gz").alias("has_gz"))
-        .filter(F.col("has_gz") & ~F.col("has_only_gz"))
-        .select("identifier")
+    plain = scan_documents(spark, folder, kind, prefix=prefix)
+    compressed = scan_documents(spark, folder, kind, compressed=True, prefix=prefix)
+    both, _ = broadcast_if_small(
+        compressed.select("identifier").join(plain.select("identifier"), "identifier", "left_semi")
     )
-    both, _ = broadcast_if_small(both)
-    plain = files.filter(~F.col("is_gz"))
-    compressed = files.filter("is_gz").join(both, "identifier", "left_anti")
-    return plain.unionByName(compressed).select("identifier", "content")
+    remaining = compressed.join(both, "identifier", "left_anti")
+    return plain.unionByName(remaining).select("identifier", "content")
