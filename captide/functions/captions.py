@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from html.entities import html5
+from html import entities
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -155,7 +155,7 @@ class _CaptionReader(HTMLParser):
             self.handle_data("�")
 
     def handle_entityref(self, name):
-        self.handle_data(html5.get(f"{name};", f"&{name}"))
+        self.handle_data(entities.html5.get(f"{name};", f"&{name}"))
 
     def handle_comment(self, data):
         self._end_text()

@@ -29,7 +29,7 @@ _CUT = """cut AS (
 _CUT_CHAIN = ", ".join([_DOCS, _LABELLED, _LINES, _RECORDS, _SEGMENTS, _FLAGGED, _CUT])
 _BLANK = "' ' || chr(10)"
 _TAG_ROWS = f"""tag_rows AS (
-    SELECT identifier, 'identifier' AS tag, 0 AS n, identifier AS value FROM either
+    SELECT identifier, 'identifier' AS tag, CAST(0 AS BIGINT) AS n, identifier AS value FROM either
     UNION ALL SELECT identifier, 'mediatype', 0, 'movies' FROM either
     UNION ALL SELECT identifier, 'contributor', 0, upper(source) FROM either
     UNION ALL SELECT identifier, 'language', 0, lang FROM either
@@ -66,7 +66,7 @@ ORACLES = {
         FROM supplier""",
     "commercial_json_scan": f"""
         WITH {_DOCS}, {_LABELLED}, {_RECORDS}
-        SELECT archive_id, 0 AS n, a AS low, a + 25000 AS high FROM records
+        SELECT archive_id, CAST(0 AS BIGINT) AS n, a AS low, a + 25000 AS high FROM records
         UNION ALL SELECT archive_id, 1, 83000, 87000 FROM records
         UNION ALL SELECT archive_id, 2, 155000.5, 171000 FROM records
         UNION ALL SELECT archive_id, 0, 0, 1e9 FROM records WHERE toxic = 1""",
@@ -100,7 +100,7 @@ ORACLES = {
         SELECT identifier, text FROM texts
         UNION ALL SELECT 'PAGE_' || CAST(page_id AS VARCHAR), '' FROM pages""",
     "timed_segments": f"""
-        SELECT conv_id, turn, 0 AS pos, turn * 10000 AS start_ms, turn * 10000 + 10000 AS end_ms,
+        SELECT conv_id, turn, CAST(0 AS BIGINT) AS pos, turn * 10000 AS start_ms, turn * 10000 + 10000 AS end_ms,
                trim(text, {_BLANK}) AS text
         FROM conversations""",
     "link_times": """
@@ -119,7 +119,7 @@ ORACLES = {
         FROM flagged WHERE lang IN ('de', 'es') OR (lang = 'fr' AND keep)""",
     "semi_commercial": f"""
         WITH {_DOCS}, {_LABELLED}, {_RECORDS}
-        SELECT archive_id, 0 AS pos, 3 AS n_intervals FROM records WHERE lang <> 'en'
+        SELECT archive_id, CAST(0 AS BIGINT) AS pos, CAST(3 AS BIGINT) AS n_intervals FROM records WHERE lang <> 'en'
         UNION ALL SELECT archive_id, 1, 1 FROM records WHERE lang <> 'en' AND toxic = 1""",
     "first_interval_record": """
         SELECT user_id AS archive_id, value AS low, value + 30 AS high FROM events

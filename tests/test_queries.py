@@ -25,3 +25,11 @@ def test_query_agrees_with_sql(spark, db, name):
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["archive_id", "text_nc"]
+
+
+def test_types_agree_with_sql(spark, db):
+    names = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    for query in ("xml_tag_map", "timed_segments", "semi_commercial", "commercial_cut_exploded", "link_times"):
+        ours = {column: names[kind] for column, kind in contract.queries()[query](spark, SF_DIR).dtypes}
+        described = db.execute("DESCRIBE " + contract.oracle_sql()[query]).fetchall()
+        assert ours == {row[0]: row[1] for row in described}

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from captide.editions import edition
 from captide.operators import release, shows
+from captide.operators.skew import heavy_keys
 from captide.plans import corpus as plan
 from captide.sinks import corpus as sink
 from captide.sinks.documents import write_documents
@@ -132,3 +133,10 @@ def test_too_many_tags_are_refused(spark, monkeypatch):
     tagged = spark.createDataFrame([({"a": [], "b": [], "c": []},)], "tags MAP<STRING, ARRAY<STRING>>")
     with pytest.raises(ValueError, match="more than 2"):
         shows.tag_names(tagged)
+
+
+def test_a_heavy_key_is_not_bucketed(spark, monkeypatch):
+    rows = spark.range(100).select(F.lit("same").alias("identifier"))
+    monkeypatch.setattr(sink, "heavy_keys", lambda df, key: heavy_keys(df, key, 50))
+    with pytest.raises(ValueError, match="same"):
+        sink.write_bucketed(rows, "never", "identifier", 4)
