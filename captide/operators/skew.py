@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from captide.session import staged
+from captide.session import broadcast_if_small, staged
 
 # A key counts as heavy from this many rows on; shows carry whole caption texts.
 HEAVY_ROWS = 20_000
@@ -27,10 +27,14 @@ def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> dict:
     return {item["item"]: item["count"] for item in found if item["item"] is not None and item["count"] >= heavy_rows}
 
 
-def _salt_count(counts: dict, heavy_rows: int) -> Column:
+def _salt_counts(counts: dict, heavy_rows: int) -> dict:
     """Number of salts per key: one for each ``heavy_rows`` rows."""
-    literals = [F.lit(part) for key, n in counts.items() for part in (key, -(-n // heavy_rows))]
-    return F.create_map(*literals)
+    return {key: -(-n // heavy_rows) for key, n in counts.items()}
+
+
+def _salts(key: str, counts: dict, heavy_rows: int) -> Column:
+    literals = [F.lit(part) for pair in _salt_counts(counts, heavy_rows).items() for part in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*literals), F.col(key)), F.lit(1)).cast("bigint")
 
 
 def _salted(df: DataFrame, key: str, counts: dict, heavy_rows: int, salt: str) -> DataFrame:
@@ -41,16 +45,15 @@ def _salted(df: DataFrame, key: str, counts: dict, heavy_rows: int, salt: str) -
     """
     if not counts:
         return df.withColumn(salt, F.lit(0).cast("bigint"))
-    salts = F.coalesce(F.try_element_at(_salt_count(counts, heavy_rows), F.col(key)), F.lit(1))
-    return df.withColumn(salt, F.pmod(F.monotonically_increasing_id(), salts.cast("bigint")))
+    return df.withColumn(salt, F.pmod(F.monotonically_increasing_id(), _salts(key, counts, heavy_rows)))
 
 
 def _replicated(df: DataFrame, key: str, counts: dict, heavy_rows: int, salt: str) -> DataFrame:
     """Repeat each row of a key that is heavy on the other side, once per salt."""
     if not counts:
         return df.withColumn(salt, F.lit(0).cast("bigint"))
-    salts = F.coalesce(F.try_element_at(_salt_count(counts, heavy_rows), F.col(key)), F.lit(1))
-    return df.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), salts.cast("bigint") - 1)))
+    last = _salts(key, counts, heavy_rows) - 1
+    return df.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
 
 
 def balanced_join(
@@ -64,11 +67,14 @@ def balanced_join(
     """Join on ``key`` (``inner`` or ``left``) where keys may repeat without bound.
 
     Without heavy keys this is the plain join. Otherwise the rows of heavy keys are
-    joined apart, on the key and a salt for each side it is heavy on, because one
-    small row may have to meet very many others: the size of the input, which
-    adaptive execution looks at, does not show that. The parts are disjoint in the
-    key, so their union is the whole result. Semi and anti joins have no such
-    growth and are left to adaptive skew handling.
+    joined apart, because one small row may have to meet very many others: the size
+    of the input, which adaptive execution looks at, does not show that. Keys heavy
+    on the left only are dealt out evenly and meet a broadcast of their few right
+    rows if these are small. In all other cases the join is on the key and a salt for
+    each side it is heavy on, in a given number of tasks, so that the short rows are
+    not gathered again. The parts are disjoint in the key, so their union is the whole
+    result. Semi and anti joins have no such growth and are left to adaptive skew
+    handling.
 
     Inputs are read once for the sketch, by their key alone, and once for each part:
     store what is costly to compute before joining it.
@@ -91,9 +97,15 @@ def balanced_join(
     parts = [other_rows(left, heavy).join(other_rows(right, heavy), key, how)]
     left_only = {k: n for k, n in left_heavy.items() if k not in right_heavy}
     if left_only:
-        near = _salted(rows(left, left_only), key, left_only, heavy_rows, "__ls")
-        far = _replicated(rows(right, left_only), key, left_only, heavy_rows, "__ls")
-        parts.append(near.join(far, [key, "__ls"], how).drop("__ls"))
+        tasks = sum(_salt_counts(left_only, heavy_rows).values())
+        near = rows(left, left_only)
+        far, small = broadcast_if_small(rows(right, left_only))
+        if small:
+            parts.append(near.repartition(tasks).join(far, key, how))
+        else:
+            near = _salted(near, key, left_only, heavy_rows, "__ls").repartition(tasks, key, "__ls")
+            far = _replicated(far, key, left_only, heavy_rows, "__ls")
+            parts.append(near.join(far, [key, "__ls"], how).drop("__ls"))
     if right_heavy:
         # These keys exist on the right, so an outer join has nothing to fill in.
         both = {k: n for k, n in left_heavy.items() if k in right_heavy}
@@ -101,5 +113,8 @@ def balanced_join(
         near = _replicated(near, key, right_heavy, heavy_rows, "__rs")
         far = _salted(rows(right, right_heavy), key, right_heavy, heavy_rows, "__rs")
         far = _replicated(far, key, both, heavy_rows, "__ls")
-        parts.append(near.join(far, [key, "__ls", "__rs"], "inner").drop("__ls", "__rs"))
+        of_left = _salt_counts(both, heavy_rows)
+        tasks = sum(n * of_left.get(k, 1) for k, n in _salt_counts(right_heavy, heavy_rows).items())
+        cells = [key, "__ls", "__rs"]
+        parts.append(near.repartition(tasks, *cells).join(far, cells, "inner").drop("__ls", "__rs"))
     return reduce(DataFrame.unionByName, parts)

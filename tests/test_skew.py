@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+from captide.operators import skew
 from captide.operators.skew import balanced_join, heavy_keys
 
 
@@ -31,8 +32,10 @@ RIGHT = (
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("heavy_rows", [50, 1_000_000])
-def test_join_is_whole_whatever_is_heavy(spark, how, heavy_rows):
+@pytest.mark.parametrize("heavy_rows, small", [(50, True), (50, False), (1_000_000, True)])
+def test_join_is_whole_whatever_is_heavy(spark, monkeypatch, how, heavy_rows, small):
+    if not small:
+        monkeypatch.setattr(skew, "broadcast_if_small", lambda df: (df, False))
     left = spark.createDataFrame(LEFT, "k STRING, a INT").repartition(5)
     right = spark.createDataFrame(RIGHT, "k STRING, b INT").repartition(3)
     result = balanced_join(left, right, "k", how, heavy_rows=heavy_rows).select("k", "a", "b")
@@ -51,8 +54,12 @@ def test_heavy_rows_spread_over_salts(spark, plan_of):
     left = spark.createDataFrame(LEFT, "k STRING, a INT")
     right = spark.createDataFrame(RIGHT, "k STRING, b INT")
     assert set(heavy_keys(left, "k", 50)) == {"hot-left", "hot-both", "lonely"}
-    plan = plan_of(balanced_join(left, right, "k", "inner", heavy_rows=50))
-    assert "__ls" in plan and "__rs" in plan
+    result = balanced_join(left, right, "k", "inner", heavy_rows=50)
+    plan = plan_of(result)
+    assert "__ls" in plan and "__rs" in plan and "REPARTITION_BY_NUM" in plan
+    # 800 rows of keys heavy on the left only, in tasks of about 50.
+    sizes = [len(part) for part in result.filter("k = 'hot-left'").rdd.glom().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
     assert "__ls" not in plan_of(balanced_join(left, right, "k", "inner"))
 
 
