@@ -24,15 +24,24 @@ VOID_ELEMENTS = frozenset(
     "area base basefont bgsound br col command embed frame hr image img input isindex "
     "keygen link menuitem meta nextid param source spacer track wbr".split()
 )
-# Tags so plain that there is only one way to read them. Raw-text elements, and
-# entities where an attribute matters, are left to the library.
-_PLAIN_OPENING = re.compile(
-    r"""<(?!(?:iframe|noembed|noframes|noscript|plaintext|script|style|textarea|title|xmp)\b)([a-z][a-z0-9]*)"""
-    r"""((?:[ \t\n]+[a-z][a-z0-9_-]*(?:="[^"]*"|='[^']*')?)*)[ \t\n]*(/?)>""",
+# Markup so plain that there is only one way to read it: text, an opening tag (name,
+# attributes, slash), a closing tag, two forms of entity, a comment or doctype, and a
+# script or style. Elements whose content may be read in several ways are left out.
+_ATTRIBUTES = r"""(?:[ \t\n]+[a-z][a-z0-9_-]*(?:="[^"]*"|='[^']*')?)*"""
+_PLAIN = re.compile(
+    r"([^<&]+)"
+    r"|<(?!(?:iframe|noembed|noframes|noscript|plaintext|script|style|textarea|title|xmp)\b)"
+    rf"([a-z][a-z0-9]*)({_ATTRIBUTES})[ \t\n]*(/?)>"
+    r"|</([a-z][a-z0-9]*)>"
+    r"|&([a-z][a-z0-9]*);"
+    r"|&\#([0-9]+|x[0-9a-f]+);"
+    r"|(<!--(?!-?>)[^-]*(?:-[^-]+)*-->|<!doctype[^<>]*>)"
+    rf"|<(script|style){_ATTRIBUTES}>[^<]*(?:<(?![/!])[^<]*)*</\9>",
     re.IGNORECASE | re.ASCII,
 )
-_PLAIN_CLOSING = re.compile(r"</([a-z][a-z0-9]*)>", re.IGNORECASE | re.ASCII)
+_TEXT, _OPENING, _CLOSING, _ENTITY, _NUMBER, _REMARK, _SILENT = 1, 4, 5, 6, 7, 8, 9
 _PLAIN_ATTRIBUTE = re.compile(r"""([a-z][a-z0-9_-]*)(?:="([^"]*)"|='([^']*)')?""", re.IGNORECASE | re.ASCII)
+_TAG_START = re.compile(r"</?[a-z]", re.IGNORECASE | re.ASCII)
 
 # Elements whose text is not part of the page's readable text.
 SILENT_ELEMENTS = frozenset("rp rt script style template".split())
@@ -57,37 +66,50 @@ class _CaptionReader(HTMLParser):
         self._silent = 0
         self._run: list[str] = []
 
-    def parse_starttag(self, i):
-        """Read a plain tag with one match; attributes only where they matter."""
-        plain = _PLAIN_OPENING.match(self.rawdata, i)
-        if plain is None:
-            return super().parse_starttag(i)
-        name, written, closed = plain.groups()
-        name = name.lower()
-        attributes = []
-        if written and (name == "div" or name == "a"):
-            if "&" in written:
-                return super().parse_starttag(i)
-            attributes = [
-                (key.lower(), single if double is None else double)
-                for key, double, single in (found.groups() for found in _PLAIN_ATTRIBUTE.finditer(written))
-            ]
-        if closed:
-            self.handle_startendtag(name, attributes)
-        else:
-            self.handle_starttag(name, attributes)
-        return plain.end()
-
-    def parse_endtag(self, i):
-        plain = _PLAIN_CLOSING.match(self.rawdata, i) if self.cdata_elem is None else None
-        if plain is None:
-            return super().parse_endtag(i)
-        self.handle_endtag(plain.group(1).lower())
-        return plain.end()
-
-    def updatepos(self, i, j):
-        """Line numbers are not needed."""
-        return j
+    def goahead(self, end):
+        """Read plain markup with one match each; leave other tags, and the rest of a
+        page behind anything stranger, to the library."""
+        page, at = self.rawdata, 0
+        while not end and at < len(page):
+            plain = _PLAIN.match(page, at)
+            if plain is None:
+                read = self._read_tag(at)
+                if read < 0 or self.cdata_elem is not None:
+                    at = max(at, read)
+                    break
+                at = read
+                continue
+            at = plain.end()
+            kind = plain.lastindex
+            if kind == _TEXT:
+                if self._texts and not self._silent:
+                    self._run.append(plain.group())
+            elif kind == _OPENING:
+                name, written, closed = plain.group(2, 3, 4)
+                name = name.lower()
+                matters = name == "div" or name == "a" and self._linkless
+                if matters and "&" in written:
+                    self.parse_starttag(plain.start())
+                elif closed:
+                    self.handle_startendtag(name, _attributes(written) if matters else ())
+                else:
+                    self.handle_starttag(name, _attributes(written) if matters else ())
+            elif kind == _CLOSING:
+                self.handle_endtag(plain.group(5).lower())
+            elif kind == _ENTITY:
+                self.handle_entityref(plain.group(6))
+            elif kind == _NUMBER:
+                self.handle_charref(plain.group(7))
+            else:
+                self._end_text()
+        self.rawdata = page[at:]
+        super().goahead(end)
+
+    def _read_tag(self, at):
+        """The end of a tag that the library can read, or -1."""
+        if not _TAG_START.match(self.rawdata, at):
+            return -1
+        return self.parse_endtag(at) if self.rawdata[at + 1] == "/" else self.parse_starttag(at)
 
     def handle_starttag(self, tag, attrs):
         self._end_text()
@@ -187,6 +209,13 @@ class _CaptionReader(HTMLParser):
         return self
 
 
+def _attributes(written: str) -> list[tuple[str, str | None]]:
+    return [
+        (name.lower(), single if double is None else double)
+        for name, double, single in (found.groups() for found in _PLAIN_ATTRIBUTE.finditer(written))
+    ]
+
+
 def _character(number: int) -> str:
     if number > 0x10FFFF or 0xD800 <= number <= 0xDFFF:
         return "�"

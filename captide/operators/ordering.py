@@ -31,3 +31,12 @@ def preview(df: DataFrame, n: int, columns: list[str], order_by: str) -> DataFra
     """The first ``n`` rows in a stated order, with only the named columns."""
     ordered = df.select(*columns, F.col(order_by).alias("__order"))
     return first_in_order(ordered, "__order", n).drop("__order")
+
+
+def row_at(df: DataFrame, n: int, columns: list[str], order_by: str) -> DataFrame:
+    """The row at the zero-based position ``n`` of a stated order; none if there are fewer."""
+    ordered = df.select(*columns, F.col(order_by).alias("__order"))
+    if n < TOP_ROWS:
+        return ordered.orderBy("__order").offset(n).limit(1).drop("__order")
+    numbered = with_position(staged(ordered.orderBy("__order"), "sorted"), "__pos")
+    return numbered.filter(F.col("__pos") == n).drop("__pos", "__order")

@@ -6,8 +6,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captide.functions.identifiers import GZIP_SUFFIX
 from captide.operators.shows import caption_texts, tag_documents
 from captide.session import broadcast_if_small
+from captide.sources.documents import SUFFIXES
 
 PARSERS = {"meta": tag_documents, "page": caption_texts}
 RAW_SCHEMA = "identifier STRING, content BINARY"
@@ -23,6 +25,26 @@ def raw_stream(spark: SparkSession, folder: str, max_files: int | None = None) -
     return documents.select("identifier", "content", origin.alias("origin"))
 
 
+def file_stream(spark: SparkSession, folder: str, kind: str, max_files: int | None = None) -> DataFrame:
+    """A stream of document files, plain or compressed, from a growing folder."""
+    suffix = SUFFIXES[kind]
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+        .option("pathGlobFilter", f"*{suffix}{{,{GZIP_SUFFIX}}}")
+    )
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    compressed = F.col("path").endswith(GZIP_SUFFIX)
+    name = F.element_at(F.split("path", "/"), -1)
+    ending = F.when(compressed, F.lit(len(suffix + GZIP_SUFFIX))).otherwise(F.lit(len(suffix)))
+    # Within a batch the plain form of a document comes before the compressed one.
+    origin = F.struct(compressed.alias("compressed"), F.col("path").alias("file"))
+    return reader.load(folder).select(
+        F.substring(name, F.lit(1), F.length(name) - ending).alias("identifier"), "content", origin.alias("origin")
+    )
+
+
 def new_documents(batch: DataFrame, ingested: DataFrame | None) -> DataFrame:
     """The first document of each show in the batch that is not ingested yet.
 

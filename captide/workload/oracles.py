@@ -28,6 +28,16 @@ _CUT = """cut AS (
     FROM flagged GROUP BY archive_id)"""
 _CUT_CHAIN = ", ".join([_DOCS, _LABELLED, _LINES, _RECORDS, _SEGMENTS, _FLAGGED, _CUT])
 _BLANK = "' ' || chr(10)"
+
+
+def _compat(text: str) -> str:
+    """Pieces between entities and line ends, stripped, blank ones left out."""
+    pieces = f"string_split(regexp_replace({text}, '([&<>])', chr(10) || '\\1' || chr(10), 'g'), chr(10))"
+    return f"""coalesce((
+        SELECT string_agg(trim(piece), chr(10) ORDER BY n)
+        FROM (SELECT unnest({pieces}) AS piece, unnest(range(len({pieces}))) AS n) WHERE trim(piece) <> ''), '')"""
+
+
 _TAG_ROWS = f"""tag_rows AS (
     SELECT identifier, 'identifier' AS tag, CAST(0 AS BIGINT) AS n, identifier AS value FROM either
     UNION ALL SELECT identifier, 'mediatype', 0, 'movies' FROM either
@@ -72,12 +82,18 @@ ORACLES = {
         UNION ALL SELECT archive_id, 0, 0, 1e9 FROM records WHERE toxic = 1""",
     "corpus_csv_roundtrip": f"SELECT {_SHOW} AS identifier, lang, text FROM documents",
     "preview_projection": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 1000",
+    "positional_look": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 1 OFFSET 1",
     "archive_listing_ids": f"SELECT {_SHOW} AS archive_id FROM documents WHERE lang = 'en'",
     "archive_member_extract": f"""
         WITH {_DOCS}, {_LABELLED} SELECT identifier AS archive_id, text AS content FROM labelled""",
     "archive_member_ranges": f"""
         WITH {_DOCS}, {_LABELLED} SELECT identifier AS archive_id, text AS content FROM labelled""",
     "xml_tag_map": f"WITH {_DOCS}, {_EITHER}, {_TAG_ROWS} SELECT identifier, tag, n, value FROM tag_rows",
+    "xml_tag_map_compat": f"""
+        WITH {_DOCS}
+        SELECT identifier, {_compat("text")} AS description,
+               {_compat("string_split(text, chr(10))[1]")} AS title
+        FROM docs""",
     "tag_fold": f"""
         WITH {_DOCS}, {_EITHER}, {_TAG_ROWS}
         SELECT identifier, tag, string_agg(value, '|' ORDER BY n) AS folded FROM tag_rows GROUP BY identifier, tag""",

@@ -9,7 +9,7 @@ from captide.editions import edition
 from captide.functions import captions, identifiers, tags, text
 from captide.operators import catalogue, commercials, ordering, release, shows
 from captide.plans import corpus as plan
-from captide.session import shared_folder, staged, tune
+from captide.session import shared_folder, spread, staged, tune
 from captide.sinks import corpus as sink
 from captide.sinks.documents import write_documents
 from captide.sources import archives, documents
@@ -94,6 +94,11 @@ def preview_projection(spark, sf_dir):
     return ordering.preview(inputs.shows(spark, sf_dir), 1000, ["identifier", "text"], "doc_id")
 
 
+@query
+def positional_look(spark, sf_dir):
+    return ordering.row_at(inputs.shows(spark, sf_dir), 1, ["identifier", "text"], "doc_id")
+
+
 @query
 def archive_listing_ids(spark, sf_dir):
     path = shared_folder(spark, "listing")
@@ -145,6 +150,12 @@ def xml_tag_map(spark, sf_dir):
     return values.select("identifier", "tag", F.posexplode("values").alias("n", "value")).withColumn("n", F.col("n").cast("bigint"))
 
 
+@query
+def xml_tag_map_compat(spark, sf_dir):
+    parsed = shows.tag_documents(inputs.meta_documents(spark, sf_dir), compat=True)
+    return shows.widen(shows.good_tags(parsed), ["description", "title"], "identifier")
+
+
 @query
 def tag_fold(spark, sf_dir):
     folded = shows.good_tags(_tagged(spark, sf_dir)).select("identifier", tags.fold_tags(F.col("tags")).alias("tags"))
@@ -309,7 +320,7 @@ def repr_strip(spark, sf_dir):
     # The percent code of a text, with its signs exchanged, is a bytes literal.
     coded = F.regexp_replace(F.replace(F.url_encode("text"), F.lit("+"), F.lit(" ")), "%([0-9A-F]{2})", r"\\x$1")
     literal = F.concat(F.lit("b'"), coded, F.lit("'"))
-    values = inputs.shows(spark, sf_dir).select("identifier", literal.alias("literal"), "text")
+    values = spread(inputs.shows(spark, sf_dir)).select("identifier", literal.alias("literal"), "text")
     return values.select("identifier", text.strip_repr(F.col("literal")).alias("stripped"), text.strip_repr(F.col("text")).alias("plain"))
 
 

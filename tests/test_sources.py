@@ -146,6 +146,14 @@ def test_preview(spark, plan_of):
     assert [tuple(r) for r in shown.collect()] == [(0,), (2,), (4,)]
 
 
+def test_row_at_a_position(spark, monkeypatch):
+    df = spark.range(10).select((9 - F.col("id")).alias("id"), F.lit("x").alias("c"))
+    for top in (ordering.TOP_ROWS, 0):
+        monkeypatch.setattr(ordering, "TOP_ROWS", top)
+        assert [r["id"] for r in ordering.row_at(df, 3, ["id"], "id").collect()] == [3]
+        assert ordering.row_at(df, 10, ["id"], "id").collect() == []
+
+
 @pytest.mark.parametrize("n", [0, 1, 499, 500, 900, 1000, 5000])
 def test_many_first_rows(spark, n):
     df = spark.range(1000).select(F.concat(F.lit("id"), (F.col("id") * 7 % 1000).cast("string")).alias("k")).repartition(5)

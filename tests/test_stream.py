@@ -1,4 +1,4 @@
-from pyspark.sql import functions as F
+import gzip
 
 from captide.operators.shows import caption_texts, tag_documents
 from captide.streaming import ingest as stream
@@ -38,6 +38,21 @@ def test_repeated_batches_add_nothing(spark, tmp_path):
     assert texts(spark, target) == [("a", "1"), ("b", "2")]
 
 
+def test_file_stream_prefers_plain_documents(spark, tmp_path):
+    folder, target = tmp_path / "meta", str(tmp_path / "target")
+    folder.mkdir()
+    (folder / "a_meta.xml").write_bytes(b"<m><form>plain</form></m>")
+    (folder / "a_meta.xml.gz").write_bytes(gzip.compress(b"<m><form>gz</form></m>"))
+    (folder / "b_meta.xml.gz").write_bytes(gzip.compress(b"<m><form>gz</form></m>"))
+    (folder / "a.html").write_bytes(b"not metadata")
+    stream.ingest(stream.file_stream(spark, str(folder), "meta"), "meta", target, str(tmp_path / "checkpoint"))
+    (folder / "b_meta.xml").write_bytes(b"<m><form>plain</form></m>")
+    (folder / "c_meta.xml").write_bytes(b"<m><form>plain</form></m>")
+    stream.ingest(stream.file_stream(spark, str(folder), "meta", 1), "meta", target, str(tmp_path / "checkpoint"))
+    forms = {r["identifier"]: r["tags"]["form"] for r in spark.read.parquet(target).collect()}
+    assert forms == {"a": ["plain"], "b": ["gz"], "c": ["plain"]}
+
+
 def test_metadata_stream_keeps_errors(spark, tmp_path):
     raw, target = str(tmp_path / "raw"), str(tmp_path / "target")
     rows = [("good", b"<m><a>1</a></m>"), ("bad", b"<m></x>")]
