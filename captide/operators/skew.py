@@ -101,7 +101,8 @@ def balanced_join(
         near = rows(left, left_only)
         far, small = broadcast_if_small(rows(right, left_only))
         if small:
-            parts.append(near.repartition(tasks).join(far, key, how))
+            cores = left.sparkSession.sparkContext.defaultParallelism
+            parts.append(near.repartition(max(tasks, 2 * cores)).join(far, key, how))
         else:
             near = _salted(near, key, left_only, heavy_rows, "__ls").repartition(tasks, key, "__ls")
             far = _replicated(far, key, left_only, heavy_rows, "__ls")

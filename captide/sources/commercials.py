@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captide.sources.files import block_order
+
 # Bounds are doubles: read as integers, one fractional bound would void the record.
 SCHEMA = "archive_id STRING, intervals ARRAY<ARRAY<DOUBLE>>"
 
@@ -20,8 +22,7 @@ def read_commercials(spark: SparkSession, path: str, lines: bool = True) -> Data
         "archive_id",
         "intervals",
         F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
+            block_order(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")).alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("pos"),
     )

@@ -1,10 +1,12 @@
-"""Opening files from tasks, on any storage Arrow knows."""
+"""Files: their order, and opening them from tasks on any storage Arrow knows."""
 
 from __future__ import annotations
 
 from urllib.parse import quote
 
 from pyarrow import fs
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
@@ -12,3 +14,16 @@ def locate(uri: str) -> tuple[fs.FileSystem, str]:
     if "://" not in uri or uri.startswith("file://"):
         return fs.LocalFileSystem(), uri.removeprefix("file://").removeprefix("file:")
     return fs.FileSystem.from_uri(quote(uri, safe="/:@?&=+,;"))
+
+
+def block_order(file: Column, block: Column) -> Column:
+    """Sort key of input splits: folder, number of a part file, file name, offset.
+
+    Part numbers count as numbers, as there may be more than their digits foresee.
+    """
+    return F.struct(
+        F.regexp_extract(file, r"^(.*/)", 1).alias("folder"),
+        F.regexp_extract(file, r"/part-(\d+)[^/]*$", 1).try_cast("bigint").alias("part"),
+        file.alias("file"),
+        block.alias("block"),
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from captide.editions import Edition
+from captide.sources.files import block_order
 
 
 def with_position(scan: DataFrame, column: str = "pos") -> DataFrame:
@@ -24,7 +25,8 @@ def with_position(scan: DataFrame, column: str = "pos") -> DataFrame:
     blocks = located.groupBy("__file", "__block").agg(
         F.min("__row").alias("__first"), F.count("*").alias("__rows")
     )
-    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    order = block_order(F.col("__file"), F.col("__block"))
+    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         "__file", "__block", "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
     )

@@ -34,6 +34,13 @@ def test_identifier_positions_follow_files_and_lines(spark, tmp_path):
     assert skipped == sorted(expected[120:])
 
 
+def test_part_files_are_ordered_by_number(spark, tmp_path):
+    for n in (99999, 100000, 7):
+        (tmp_path / f"part-{n:05d}-x.csv").write_text(f"identifier\nid{n}\n")
+    rows = sorted((r["pos"], r["identifier"]) for r in read_identifiers(spark, str(tmp_path)).collect())
+    assert rows == [(0, "id7"), (1, "id99999"), (2, "id100000")]
+
+
 def test_identifier_column_by_name_or_first(spark, tmp_path):
     (tmp_path / "list.csv").write_text('n,identifier\n1,"a"\n2,"b"\n')
     by_name = read_identifiers(spark, str(tmp_path / "list.csv"))
