@@ -40,6 +40,17 @@ def member_archive_id(name: Column, edition: Edition) -> Column:
     return F.when(name.startswith(prefix) & name.endswith(suffix), inner)
 
 
+def normal_date(date: str) -> str:
+    """A date given by a user as ``YYYY-MM-DD``, after the same loose check as ``is_valid_date``."""
+    try:
+        year, month, day = (int(part) for part in date.split("-")[:3])
+    except ValueError:
+        raise ValueError(f"Invalid date: {date!r}") from None
+    if year < 1 or not 1 <= month <= 12 or not 1 <= day <= 31:
+        raise ValueError(f"Invalid date: {date!r}")
+    return f"{year:04d}-{month:02d}-{day:02d}"
+
+
 def is_valid_date(date: Column) -> Column:
     """Loose check: year above 0, month 1-12, day 1-31, further parts ignored.
 

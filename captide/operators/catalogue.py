@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from captide.functions.identifiers import normal_date
 from captide.operators.ordering import first_in_order
 
 # The collection that is searched and the default row limit.
@@ -17,11 +18,11 @@ def search_catalogue(
 ) -> DataFrame:
     """Identifiers of a collection, from a date on, at most ``limit`` in identifier order.
 
-    ``shows`` has ``identifier``, ``collection ARRAY<STRING>`` and ``date STRING``.
+    The date is checked loosely and may lack leading zeros. ``shows`` has ``identifier``, ``collection ARRAY<STRING>`` and ``date STRING``.
     """
     found = shows.filter(F.array_contains("collection", collection))
     if start_date:
-        found = found.filter(F.col("date") >= start_date)
+        found = found.filter(F.col("date") >= normal_date(start_date))
     return first_in_order(found.select("identifier"), "identifier", limit)
 
 

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from captide.editions import Edition
 from captide.sources.files import block_order
 
+# At about 200 bytes for a file name and three numbers, less than 64 MB.
+MAX_BROADCAST_BLOCKS = 300_000
+
 
 def with_position(scan: DataFrame, column: str = "pos") -> DataFrame:
     """Add the zero-based position of each row in the order of files and lines.
 
     ``scan`` must come straight from a file source. Rows are counted per file block
     first; the running total over the blocks then gives each block its offset, so
-    no row has to move. The table of blocks is as long as the list of input splits.
+    no row has to move. The table of blocks is broadcast while the number of input
+    splits, known without a job, proves it small.
     """
     located = scan.select(
         "*",
@@ -30,8 +34,11 @@ def with_position(scan: DataFrame, column: str = "pos") -> DataFrame:
     offsets = blocks.select(
         "__file", "__block", "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
     )
+    # A block is a whole file or fills a task.
+    if len(scan.inputFiles()) + located.rdd.getNumPartitions() <= MAX_BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     position = (F.col("__offset") + F.col("__row") - F.col("__first")).alias(column)
-    return located.join(F.broadcast(offsets), ["__file", "__block"]).select(*scan.columns, position)
+    return located.join(offsets, ["__file", "__block"]).select(*scan.columns, position)
 
 
 def read_identifiers(spark: SparkSession, path: str, column: str | None = "identifier") -> DataFrame:

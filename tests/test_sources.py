@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from captide.editions import edition
 from captide.operators import catalogue, commercials, ordering
 from captide.sinks.documents import write_documents
-from captide.sources import archives, corpus
+from captide.sources import archives, corpus, identifiers
 from captide.sources.commercials import read_commercials
 from captide.sources.documents import read_documents, scan_documents
 from captide.sources.identifiers import read_archive_listing, read_identifiers, skip_identifiers
@@ -34,7 +34,8 @@ def test_identifier_positions_follow_files_and_lines(spark, tmp_path):
     assert skipped == sorted(expected[120:])
 
 
-def test_part_files_are_ordered_by_number(spark, tmp_path):
+def test_part_files_are_ordered_by_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(identifiers, "MAX_BROADCAST_BLOCKS", 0)
     for n in (99999, 100000, 7):
         (tmp_path / f"part-{n:05d}-x.csv").write_text(f"identifier\nid{n}\n")
     rows = sorted((r["pos"], r["identifier"]) for r in read_identifiers(spark, str(tmp_path)).collect())
@@ -175,7 +176,11 @@ def test_catalogue_search(spark):
     shows = spark.createDataFrame(rows, "identifier STRING, collection ARRAY<STRING>, date STRING")
     assert sorted(r[0] for r in catalogue.search_catalogue(shows).collect()) == ["a", "b"]
     assert [r[0] for r in catalogue.search_catalogue(shows, "2020-01-02").collect()] == ["b"]
+    assert [r[0] for r in catalogue.search_catalogue(shows, "2020-1-2").collect()] == ["b"]
     assert [r[0] for r in catalogue.search_catalogue(shows, limit=1).collect()] == ["a"]
+    for date in ("2020-13-01", "2020-01", "soon", "0-1-1"):
+        with pytest.raises(ValueError, match="Invalid date"):
+            catalogue.search_catalogue(shows, date)
 
 
 def test_pending_work_and_report(spark):
