@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from captide.operators import skew
 from captide.operators.skew import balanced_join, heavy_keys
@@ -63,6 +64,13 @@ def test_heavy_rows_spread_over_salts(spark, plan_of):
     assert "__ls" not in plan_of(balanced_join(left, right, "k", "inner"))
 
 
+def test_heavy_keys_among_very_many(spark):
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, "third").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k")
+    )
+    assert set(heavy_keys(rows, "k")) == {"third"}
+
+
 def test_numeric_keys(spark):
     left = spark.createDataFrame([(7, n) for n in range(100)] + [(8, 1)], "k BIGINT, a INT")
     right = spark.createDataFrame([(7, 1), (8, 2)], "k BIGINT, b INT")
