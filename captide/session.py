@@ -73,7 +73,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A few files, or files with a single row group, make fewer tasks than there are
     cores. The shuffle is only made while the sources of ``df`` together stay below a
-    fixed amount per core; larger inputs have tasks enough and are left in place.
+    fixed amount per core and in few files; other inputs have tasks enough and are
+    left in place.
     """
     if is_remote():
         # A remote session tells nothing about its cores.
@@ -81,4 +82,6 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     sources = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     estimate = sum(int(str(sources.apply(n).stats().sizeInBytes())) for n in range(sources.size()))
-    return df.repartition(2 * cores) if estimate <= cores * SPREAD_BYTES_PER_CORE else df
+    if estimate > cores * SPREAD_BYTES_PER_CORE or len(df.inputFiles()) >= 2 * cores:
+        return df
+    return df.repartition(2 * cores)

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from captide import session
 from captide.editions import edition
 from captide.operators import release, shows
 from captide.operators.skew import heavy_keys
@@ -140,3 +141,25 @@ def test_a_heavy_key_is_not_bucketed(spark, monkeypatch):
     monkeypatch.setattr(sink, "heavy_keys", lambda df, key: heavy_keys(df, key, 50))
     with pytest.raises(ValueError, match="same"):
         sink.write_bucketed(rows, "never", "identifier", 4)
+
+
+def test_only_small_inputs_in_few_files_are_spread(spark, tmp_path, monkeypatch):
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "few"))
+    spark.range(100).repartition(40).write.parquet(str(tmp_path / "many"))
+    few, many = spark.read.parquet(str(tmp_path / "few")), spark.read.parquet(str(tmp_path / "many"))
+    assert session.spread(few).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+    assert session.spread(many) is many
+    monkeypatch.setattr(session, "SPREAD_BYTES_PER_CORE", 1)
+    assert session.spread(few) is few
+
+
+def test_broadcasts_are_measured(spark, plan_of):
+    df = spark.createDataFrame([("a" * 1000,)], "k STRING")
+    assert session.broadcast_if_small(df)[1] and not session.broadcast_if_small(df, max_bytes=500)[1]
+    assert session.payload_bytes(df.limit(0)) == 0
+
+
+def test_scratch_folders_are_new_and_shared(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = session.shared_folder(spark, "x"), session.shared_folder(spark, "x")
+    assert one != two and one.startswith(base)
