@@ -5,12 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import packing, token_counts, token_store
+from captide.llm import oracles, packing, quality, token_counts, token_store
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
 QUERIES, query = query_registry()
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_quality_rules": oracles.QUALITY_SQL}
 
 TOKEN_LIMIT = 512
 
@@ -38,3 +38,10 @@ def op9_token_store(spark, sf_dir):
     stored = token_store.read_tokens(spark, folder, manifest)
     n_tokens = (F.octet_length("ids") / 4).cast("bigint")
     return stored.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op1_quality_rules(spark, sf_dir):
+    judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *(f"quality.{c}" for c in counts))
