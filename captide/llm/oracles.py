@@ -71,3 +71,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND failed.r IS NULL AS kept
 FROM base LEFT JOIN failed USING (r)
 """
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def url_sql(site_rules, pattern_rules) -> str:
+    """The verdict on every page, by a plain comparison with every rule."""
+    sites = ", ".join(f"('{verdict}', '{site}', '{site.partition('/')[0]}', '/{site.partition('/')[2]}')" for verdict, site in site_rules)
+    patterns = ", ".join(f"('{verdict}', '{pattern}')" for verdict, pattern, _ in pattern_rules)
+    return rf"""
+WITH parts AS (
+  SELECT row_number() OVER () AS r, page_id, coalesce(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '') AS tail FROM pages
+), located AS (
+  SELECT r, page_id, translate(regexp_extract(tail, '^[^/?#]*'), {_LOWER}) AS host, regexp_extract(tail, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts
+), sites(verdict, rule, h, p) AS (VALUES {sites}
+), patterns(verdict, pattern) AS (VALUES {patterns}
+), named AS (
+  SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM located, sites WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r
+), matched AS (
+  SELECT r, max(verdict) AS verdict FROM located, patterns WHERE regexp_matches(host || path, pattern) GROUP BY r
+)
+SELECT page_id, host, path, named.rule, coalesce(named.verdict, matched.verdict, 'allow') AS verdict
+FROM located LEFT JOIN named USING (r) LEFT JOIN matched USING (r)
+"""

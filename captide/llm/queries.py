@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import oracles, packing, quality, token_counts, token_store
+from captide.llm import oracles, packing, quality, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -45,3 +45,28 @@ def op1_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents"), carry=["doc_id"])
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged.select("doc_id", *(f"quality.{c}" for c in counts))
+
+
+# The site rules of the contract, and patterns for the rest: advertising, gambling, pills and link farms.
+SITE_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+PATTERN_RULES = [
+    ("block", rf"(?:^|[./_-]){word}(?:$|[./_-])", [word])
+    for word in ("ads", "adserver", "bets", "betting", "casino", "doubleclick", "pills", "poker", "porn", "spam", "viagra", "xxx")
+]
+
+
+@query
+def op5_url_filter(spark, sf_dir):
+    rules = [url_filter.site_rule(*rule) for rule in SITE_RULES] + [url_filter.pattern_rule(*rule) for rule in PATTERN_RULES]
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filter.judge_urls(pages, url_filter.rule_table(spark, rules), carry=["page_id"])
+    return judged.select("page_id", *(f"judged.{c}" for c in ("host", "path", "rule", "verdict")))
+
+
+ORACLES["op5_url_filter"] = oracles.url_sql(SITE_RULES, PATTERN_RULES)
