@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import oracles, packing, quality, token_counts, token_store, url_filter
+from captide.llm import ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -70,3 +70,8 @@ def op5_url_filter(spark, sf_dir):
 
 
 ORACLES["op5_url_filter"] = oracles.url_sql(SITE_RULES, PATTERN_RULES)
+
+
+@query
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
