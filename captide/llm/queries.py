@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
+from captide.llm import line_dedup, ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -75,3 +75,9 @@ ORACLES["op5_url_filter"] = oracles.url_sql(SITE_RULES, PATTERN_RULES)
 @query
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "text", F.col("lines.total").alias("n_lines"), F.col("lines.removed").alias("n_removed"))
