@@ -19,6 +19,10 @@ WHITE = "\t-\r \x85\xa0  -     　"
 CACHE_UNITS = 1 << 20
 
 
+def _split(text: str) -> list[bytes]:
+    return text.encode().split()
+
+
 class UnitEncoder:
     """Ids of texts under one tokenizers file, by a bounded cache of units.
 
@@ -31,23 +35,23 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = self.tokenizer.normalizer is None
-        self.units_of = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall if self.keeps_space else str.split
-        self.cache: dict[str, bytes] = {}
-        self.lengths: dict[str, int] = {}
-
-    def units(self, text: str) -> list[str]:
-        if self.keeps_space:
-            return self.units_of(text)
-        # ASCII white space only: the library and Python agree on it.
-        return [unit.decode() for unit in text.encode().split()]
+        self.cache: dict[str | bytes, bytes] = {}
+        self.lengths: dict[str | bytes, int] = {}
+        # Without white space, units are cut at ASCII white space, on which the library and Python agree.
+        self.units = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+").findall if self.keeps_space else _split
 
-    def _encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(units, add_special_tokens=False)]
+    def _encode(self, units: list) -> list[list[int]]:
+        texts = units if self.keeps_space else [unit.decode() for unit in units]
+        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def ids(self, text: str) -> bytes:
         """The ids of a text, packed as little-endian unsigned 32-bit integers."""
         cache = self.cache
         units = self.units(text)
+        try:
+            return b"".join([cache[unit] for unit in units])
+        except KeyError:
+            pass
         missing = list(dict.fromkeys(unit for unit in units if unit not in cache))
         if missing:
             if len(cache) + len(missing) > CACHE_UNITS:
@@ -57,7 +61,7 @@ class UnitEncoder:
                 cache[unit] = np.array(ids, dtype="<u4").tobytes()
         return b"".join(map(cache.__getitem__, units))
 
-    def count(self, text: str, frequent: dict[str, int]) -> int:
+    def count(self, text: str, frequent: dict) -> int:
         """How many ids a text has: the frequent units first, then the worker's cache, then the library."""
         lengths = self.lengths
         units = self.units(text)
