@@ -9,11 +9,9 @@ shingles: those in crowded hash buckets last, the rest by hash. The order is rig
 they only keep frequent passages out of the short lists. Lists of up to ``SHORT`` classes are merged into pair counts, and a pair
 stays if its count can still reach T. Longer lists are kept as nodes of the candidate graph.
 
-*Search.* The connected parts of the candidate graph are blocks; the whole sets of a block meet in one task, which
-runs DivideSkip: merge the short lists, probe the long ones by binary search, and report links between documents
-that are not yet connected. A block of more than ``BLOCK`` classes is searched in pieces: a few leaders against all
-first, then what they left unconnected against all. Any link between different parts is found, no pair is tested twice
-for nothing inside a group that is connected already.
+*Search.* The connected parts of the candidate graph are blocks (see ``blocks``); the whole sets of a block, or of a
+piece of a large one, meet in one task. It runs DivideSkip: merge the short lists, probe the long ones by binary
+search, and report links between documents that are not yet connected.
 """
 
 from __future__ import annotations
@@ -26,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from captide.llm.blocks import links_in_blocks
 from captide.llm.common import documents_of, staged
-from captide.llm.components import Forest, components
+from captide.llm.components import components
 
 WORDS = 5
 PERCENT = 80
 SHORT = 16
 BLOCK = 1024
-LEADERS = 8
 BUCKET_BITS = 22
 CROWDED = 1 << 20
 SALTS = 64
@@ -181,29 +179,25 @@ def short_lists(texts: DataFrame, crowded: np.ndarray) -> DataFrame:
 
 
 def candidate_edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """``u, v``: the candidate graph over class keys (and, for long lists, nodes of their own)."""
-    group = "PARTITION BY token, salt"
+    """``u, v``: the candidate graph over class codes, and over long lists, named by their token.
+
+    Two names may be equal by chance; that only makes a block larger.
+    """
     # Equal classes of several tasks are one entry; a list of one class leads nowhere.
-    counted = lists.distinct().withColumn("df", F.expr(f"count(1) OVER ({group})")).where("df > 1 OR salt >= 0")
-    known = classes.select(F.col("code"), "key", "n")
-    entries = staged(counted.join(known, "code").select("token", "salt", "df", "key", "n"), "short-lists")
-    merged = entries.where(f"salt < 0 AND df <= {SHORT}")
-    a, b = merged.alias("a"), merged.alias("b")
-    close = f"a.token = b.token AND a.key < b.key AND {PERCENT} * greatest(a.n, b.n) <= 100 * least(a.n, b.n)"
-    counts = a.join(b, F.expr(close)).groupBy(F.col("a.key").alias("u"), F.col("b.key").alias("v")).agg(
-        F.count("*").alias("common"), F.first("a.n").alias("n"), F.first("b.n").alias("m")
-    )
-    # The set whose short side ends first has all its matches there counted, but for those in long lists.
+    counted = lists.distinct().withColumn("df", F.expr("count(1) OVER (PARTITION BY token, salt)")).where("df > 1 OR salt >= 0")
+    entries = staged(counted.join(classes.select("code", "n"), "code").select("token", "salt", "df", "code", "n"), "short-lists")
     long_entries = entries.where(f"salt >= 0 OR df > {SHORT}")
-    long_side = long_entries.groupBy("key").agg(F.count("*").alias("long"))
-    counts = counts.join(long_side.select(F.col("key").alias("u"), F.col("long").alias("u_long")), "u", "left")
-    counts = counts.join(long_side.select(F.col("key").alias("v"), F.col("long").alias("v_long")), "v", "left")
-    required = F.ceil(F.lit(PERCENT) * (F.col("n") + F.col("m")) / (100 + PERCENT))
-    beyond = lambda n: F.floor((100 - PERCENT) * n / 100) + 1
-    rest = F.greatest(F.col("n") - beyond(F.col("n")) + F.coalesce("u_long", F.lit(0)), F.col("m") - beyond(F.col("m")) + F.coalesce("v_long", F.lit(0)))
-    pairs = counts.where(F.col("common") + rest >= required).select("u", "v")
-    node = F.unhex(F.concat(F.lit("FFFF"), F.lpad(F.hex("token"), 16, "0"), F.lit("FF")))
-    return pairs.union(long_entries.select(F.col("key").alias("u"), node.alias("v")))
+    long_side = long_entries.groupBy("code").agg(F.count("*").alias("long"))
+    # The set whose short side ends first has all its matches there, in merged or in long lists.
+    beyond = F.col("n") - F.floor((100 - PERCENT) * F.col("n") / 100) - 1
+    merged = entries.where(f"salt < 0 AND df <= {SHORT}").join(long_side, "code", "left")
+    merged = merged.select("token", "code", "n", (beyond + F.coalesce("long", F.lit(0))).alias("rest"))
+    a, b = merged.alias("a"), merged.alias("b")
+    close = f"a.token = b.token AND a.code < b.code AND {PERCENT} * greatest(a.n, b.n) <= 100 * least(a.n, b.n)"
+    required = F.ceil(F.lit(PERCENT) * (F.col("a.n") + F.col("b.n")) / (100 + PERCENT)) - F.greatest("a.rest", "b.rest")
+    pairs = a.join(b, F.expr(close)).select(F.col("a.code").alias("u"), F.col("b.code").alias("v"), required.alias("required"))
+    pairs = pairs.groupBy("u", "v", "required").agg(F.count("*").alias("common")).where("common >= required").select("u", "v")
+    return pairs.union(long_entries.select(F.col("code").alias("u"), (-F.col("token") - 1).alias("v")))
 
 
 def divide_skip(keys: list, sets: list[np.ndarray], asks: np.ndarray, forest: Forest):
@@ -248,102 +242,28 @@ def divide_skip(keys: list, sets: list[np.ndarray], asks: np.ndarray, forest: Fo
                 yield keys[q], keys[c]
 
 
-def searched(members: DataFrame) -> DataFrame:
-    """``u, v``: links found among ``block, part, asks, key, part_of, shingles``; blocks and parts are searched apart."""
-
-    def scan(batches):
-        held, last, links = [], None, []
-
-        def search():
-            forest = Forest()
-            for _, key, _, part_of in held:
-                forest.union(key, part_of)
-            sets = [values for _, _, values, _ in held]
-            found = list(divide_skip([key for _, key, _, _ in held], sets, np.array([asks for asks, *_ in held]), forest))
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=["u", "v"])
-
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("block", "part", "asks", "key", "part_of", "shingles")]
-            for block, part, asks, key, part_of, values in zip(*columns):
-                # Small blocks share an index until it is large enough; a part of a large block has its own.
-                if held and (block, part) != last and (len(held) >= 2 * BLOCK or part or last[1]):
-                    yield search()
-                last = (block, part)
-                held.append((asks, key, np.frombuffer(values, np.uint64), part_of))
-        if held:
-            yield search()
-
-    dealt = members.repartition("block", "part").sortWithinPartitions("block", "part")
-    return dealt.select("block", "part", "asks", "key", "part_of", "shingles").mapInArrow(scan, "u binary, v binary")
+def search_sets(keys, payloads, asks, forest):
+    """``divide_skip`` over payloads of a class key and a text; a text of another class does not count."""
+    sets, names, asking = [], [], []
+    for key, payload, ask in zip(keys, payloads, asks):
+        values = shingles(payload[16:].decode())
+        if len(values) and class_key(values) == payload[:16]:
+            sets.append(values)
+            names.append(key)
+            asking.append(ask)
+    return divide_skip(names, sets, np.array(asking), forest) if sets else ()
 
 
 def links_of(texts: DataFrame, classes: DataFrame, crowded: np.ndarray) -> DataFrame:
-    """``u, v``: links between class keys, enough of them to connect what is connected."""
-    edges = candidate_edges(short_lists(texts, crowded), classes)
-    parts = components(edges).where("length(node) = 16").select(F.col("node").alias("key"), F.col("component").alias("block"))
-    sizes = staged(parts.groupBy("block").count().where("count > 1"), "block-sizes")
-    blocks = parts.join(sizes, "block").join(classes.select("key", "first"), "key")
-    wanted = staged(blocks.select("block", "count", F.col("key").alias("class_key"), "first"), "blocks")
-
-    def gather(batches):
-        for batch in batches:
-            sets = [shingles(text) for text in batch.column("text").to_pylist()]
-            rows = pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("block", "count", "class_key")), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["block", "count", "key", "shingles"],
-            )
-            # Rows may share an id: only the text of the class counts.
-            same = [len(s) > 0 and class_key(s) == k for s, k in zip(sets, batch.column("class_key").to_pylist())]
-            yield rows.filter(pa.array(same, pa.bool_()))
-
-    found = texts.join(wanted, texts.doc_id == wanted["first"]).select("block", "count", "class_key", "text")
-    sets = staged(found.mapInArrow(gather, "block binary, count bigint, key binary, shingles binary"), "block-sets")
-    everything = [F.lit(True).alias("asks"), "key", F.col("key").alias("part_of"), "shingles"]
-    small = sets.where(f"count <= {BLOCK}").dropDuplicates(["key"])
-    links = staged(searched(small.select("block", F.lit(0).alias("part"), *everything)), "links")
-    large = sets.where(f"count > {BLOCK}").dropDuplicates(["key"])
-    if sizes.where(f"count > {BLOCK}").isEmpty():
-        return links
-    return links.union(_large_blocks(staged(large, "large-blocks")))
-
-
-def _pieces(members: DataFrame, rows: str) -> DataFrame:
-    """``members`` with ``piece``: about ``BLOCK`` of the ``rows`` of a block in each."""
-    return members.withColumn("pieces", F.ceil(F.col(rows) / BLOCK).cast("int")).withColumn(
-        "piece", F.pmod(F.xxhash64("key", F.lit(17)), F.col("pieces")).cast("int")
-    )
-
-
-def _large_blocks(members: DataFrame) -> DataFrame:
-    """Links inside blocks too large for one task."""
-    leaders = members.groupBy("block").agg(*(F.min(F.struct(F.xxhash64("key", F.lit(s)), "key")).alias(f"l{s}") for s in range(LEADERS)))
-    leaders = leaders.select("block", F.explode(F.array_distinct(F.array(*(f"l{s}.key" for s in range(LEADERS))))).alias("key"))
-    asking = members.join(leaders, ["block", "key"], "left_semi")
-    dealt = _pieces(members, "count")
-    copies = asking.withColumn("piece", F.explode(F.sequence(F.lit(0), F.ceil(F.col("count") / BLOCK).cast("int") - 1)))
-    columns = lambda asks: ["block", (F.col("piece") + 1).alias("part"), F.lit(asks).alias("asks"), "key", F.col("key").alias("part_of"), "shingles"]
-    others = dealt.join(leaders, ["block", "key"], "left_anti")
-    stars = staged(searched(copies.select(*columns(True)).union(others.select(*columns(False)))), "leader-links")
-
-    joined = components(stars).select(F.col("node").alias("key"), F.col("component").alias("part_of"))
-    placed = members.join(joined, "key", "left").withColumn("part_of", F.coalesce("part_of", "key"))
-    main = placed.groupBy("block", "part_of").count().groupBy("block").agg(F.max_by("part_of", F.struct("count", "part_of")).alias("main"))
-    placed = staged(placed.join(main, "block").withColumn("asks", F.col("part_of") != F.col("main")), "placed")
-    left = placed.where("asks").groupBy("block").agg(F.count("*").alias("left"))
-    placed = placed.join(left, "block")
-    # What the leaders left meets every piece of the block; pieces of the main part do not meet each other.
-    asking = _pieces(placed.where("asks"), "left").withColumnRenamed("piece", "mine").withColumnRenamed("pieces", "groups")
-    n = F.ceil(F.col("count") / BLOCK).cast("int")
-    number = lambda mine, piece: (F.lit(1) + mine * n + piece).alias("part")
-    asked = asking.withColumn("piece", F.explode(F.sequence(F.lit(0), n - 1)))
-    index = _pieces(placed, "count").withColumn("groups", F.ceil(F.col("left") / BLOCK).cast("int"))
-    index = index.withColumn("mine", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    columns = lambda asks: ["block", number(F.col("mine"), F.col("piece")), F.lit(asks).alias("asks"), "key", "part_of", "shingles"]
-    # A member of both sides stands once, asking.
-    both = asked.select(*columns(True)).union(index.select(*columns(False)))
-    once = both.groupBy("block", "part", "key").agg(F.max("asks").alias("asks"), F.first("part_of").alias("part_of"), F.first("shingles").alias("shingles"))
-    return stars.union(staged(searched(once), "block-links"))
+    """``u, v``: links between the first ids of classes, enough of them to connect what is connected."""
+    parts = components(candidate_edges(short_lists(texts, crowded), classes))
+    blocks = parts.select(F.col("node").alias("code"), F.col("component").alias("block")).join(classes, "code")
+    sizes = staged(blocks.groupBy("block").agg(F.count("*").alias("count")).where("count > 1"), "block-sizes")
+    wanted = staged(blocks.join(sizes, "block").select("block", "count", F.col("key").alias("class_key"), "first"), "blocks")
+    found = texts.join(wanted, texts.doc_id == wanted["first"])
+    payload = F.concat("class_key", F.encode("text", "UTF-8")).alias("payload")
+    members = staged(found.select("block", "count", F.col("first").alias("key"), payload), "block-texts")
+    return links_in_blocks(members, search_sets, BLOCK)
 
 
 def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -351,18 +271,16 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     ``component_id`` is the smallest id that a chain of links leads to. Null, empty and blank texts have 0 shingles
     and are linked with nothing, not even each other. Texts of fewer than 5 words have one shingle, their whole
-    sequence. Rows with equal sets are linked; repeated rows give repeated rows. Texts of any length count whole; an
+    sequence. Rows with equal sets are linked; repeated rows give repeated rows; classes whose smallest id is the same
+    (rows of one id and different texts) count as linked. Texts of any length count whole; an
     empty table gives no rows. Other columns are not carried.
     """
     texts = documents_of(docs, id_column, text_column)
     rows, crowded = sets_of(texts)
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"))
     classes = staged(classes.withColumn("code", _code(F.col("key"))), "classes")
-    parts = components(links_of(texts, classes, crowded))
-    known = parts.select(F.col("node").alias("key"), "component")
-    placed = classes.join(known, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = placed.join(least, "component").select("key", "component_id")
+    parts = components(links_of(texts, classes, crowded)).select(F.col("node").alias("first"), F.col("component").alias("component_id"))
+    named = classes.join(parts, "first", "left").select("key", F.coalesce("component_id", "first").alias("component_id"))
     return rows.join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
