@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import line_dedup, ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
+from captide.llm import html_extract, line_dedup, ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -81,3 +81,9 @@ def op7_ngram_join(spark, sf_dir):
 def op8_line_dedup(spark, sf_dir):
     cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "text", F.col("lines.total").alias("n_lines"), F.col("lines.removed").alias("n_removed"))
+
+
+@query
+def op10_html_text(spark, sf_dir):
+    texts = html_extract.extract_text(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
