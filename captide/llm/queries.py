@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import html_extract, line_dedup, ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
+from captide.llm import decontaminate, html_extract, line_dedup, ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -87,3 +87,8 @@ def op8_line_dedup(spark, sf_dir):
 def op10_html_text(spark, sf_dir):
     texts = html_extract.extract_text(table(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
