@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import decontaminate, html_extract, line_dedup, ngram_join, oracles, packing, quality, token_counts, token_store, url_filter
+from captide.llm import decontaminate, html_extract, line_dedup, ngram_join, oracles, packing, quality, suffix_dedup, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -92,3 +92,12 @@ def op10_html_text(spark, sf_dir):
 @query
 def op6_decontaminate(spark, sf_dir):
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    n_removed = (F.col("n_bytes") - F.octet_length("kept")).cast("bigint")
+    return rows.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
