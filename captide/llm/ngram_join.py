@@ -4,10 +4,11 @@ A document is the set of its 5-word shingles (63-bit hashes); two link if ``100
 with equal sets form a class and are one row from then on.
 
 *Candidates.* For a link, the common shingles must reach T. All but T - 1 of a set's inverted lists, the short ones,
-have to hold the partner (the L = T - 1 long ones are left for probing). Short and long are told by an order of all
-shingles: those in crowded hash buckets last, the rest by hash. The order is right whatever the bucket counts say;
-they only keep frequent passages out of the short lists. Lists of up to ``SHORT`` classes are merged into pair counts, and a pair
-stays if its count can still reach T. Longer lists are kept as nodes of the candidate graph.
+have to hold the partner (the L = T - 1 long ones are left for probing). Short and long are told by one order of all
+shingles: by the level of their hash bucket, counted over the whole corpus, then by hash. Lists of level 0 are merged
+into pair counts, and a pair stays if its count can still reach T. A list of a crowded bucket, which is on the short
+side only if a set has little else (a large group of near copies), is a node of the candidate graph: its pairs are
+never written out.
 
 *Search.* The connected parts of the candidate graph are blocks (see ``blocks``); the whole sets of a block, or of a
 piece of a large one, meet in one task. It runs DivideSkip: merge the short lists, probe the long ones by binary
@@ -18,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +33,10 @@ from captide.llm.components import components
 
 WORDS = 5
 PERCENT = 80
-SHORT = 16
 BLOCK = 1024
 BUCKET_BITS = 22
-CROWDED = 1 << 20
+CHUNKS = 64
+ROOMY = 16
 SALTS = 64
 PROBE = 0.0085
 
@@ -96,17 +99,18 @@ def prefix_length(n: int) -> int:
 
 
 def sets_of(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id, n_shingles, key`` of every row, staged, and the crowded buckets.
+    """``doc_id, n_shingles, key`` of every row, staged, and the level of every hash bucket.
 
-    Every task counts its distinct sets in ``2 ** BUCKET_BITS`` buckets; those far above its mean are crowded. At most
-    ``CROWDED`` buckets, those that most tasks name, come to the driver.
+    Every task counts its distinct sets in ``2 ** BUCKET_BITS`` buckets, and the counts of all tasks are added up. A
+    bucket far above the mean is crowded; its level is the binary logarithm of its count. Others have level 0.
     """
     id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def scan(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
-        seen, total = set(), 0
+        seen, kind = set(), None
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             n, keys = [], []
             for text in batch.column("text").to_pylist():
                 values = shingles(text)
@@ -115,42 +119,47 @@ def sets_of(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 keys.append(key)
                 if key and key not in seen:
                     seen.add(key)
-                    total += len(values)
-                    # A set may have two shingles in one bucket; numpy then counts one, which is fine here.
+                    # Two shingles of a set in one bucket count once, which is fine here.
                     counts[(values >> np.uint64(63 - BUCKET_BITS)).astype(np.int64)] += 1
-            nothing = pa.nulls(len(n), pa.int32())
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), nothing]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "key", "bucket"])
-        crowded = np.flatnonzero(counts > 16 + 4 * total / len(counts)).astype(np.int32)
-        if len(crowded):
-            kind = batch.schema.field("doc_id").type
-            empty = [pa.nulls(len(crowded), t) for t in (kind, pa.int64(), pa.binary())]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(crowded)], names=["doc_id", "n_shingles", "key", "bucket"])
-
-    rows = staged(texts.mapInArrow(scan, f"doc_id {id_type}, n_shingles bigint, key binary, bucket int"), "shingle-sets")
-    named = rows.where("bucket IS NOT NULL").groupBy("bucket").count().orderBy(F.desc("count"), "bucket").limit(CROWDED)
-    crowded = np.zeros(1 << BUCKET_BITS, bool)
-    crowded[[r.bucket for r in named.select("bucket").collect()]] = True
-    return rows.where("bucket IS NULL").drop("bucket"), crowded
-
-
-def ordered(values: np.ndarray, crowded: np.ndarray) -> tuple[np.ndarray, int]:
-    """The shingles with those of crowded buckets last, and how many are not in such."""
-    late = crowded[(values >> np.uint64(63 - BUCKET_BITS)).astype(np.int64)]
-    if not late.any():
-        return values, len(values)
-    return np.concatenate((values[~late], values[late])), int((~late).sum())
-
-
-def short_lists(texts: DataFrame, crowded: np.ndarray) -> DataFrame:
+            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary())]
+            columns += [pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "key", "chunk", "counts"])
+        if seen:
+            parts = [zlib.compress(part.tobytes(), 1) for part in counts.reshape(CHUNKS, -1)]
+            empty = [pa.nulls(CHUNKS, t) for t in (kind, pa.int64(), pa.binary())]
+            columns = [*empty, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "key", "chunk", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, total = None, 0
+        for batch in batches:
+            for chunk, part in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
+                total = total + np.frombuffer(zlib.decompress(part), np.uint32).astype(np.uint64)
+        columns = [pa.array([chunk], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["chunk", "counts"])
+
+    schema = f"doc_id {id_type}, n_shingles bigint, key binary, chunk int, counts binary"
+    rows = staged(texts.mapInArrow(scan, schema), "shingle-sets")
+    sums = rows.where("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
+    counts = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), np.uint64)
+    # As many rows as there are chunks, whatever the input.
+    for row in sums.collect():
+        counts[row.chunk] = np.frombuffer(zlib.decompress(bytes(row.counts)), np.uint64)
+    counts = counts.reshape(-1)
+    mean = counts.mean()
+    level = np.where(counts > mean + 6 * math.sqrt(mean) + ROOMY, np.log2(np.maximum(counts, 1)), 0).astype(np.uint8)
+    return rows.where("chunk IS NULL").select("doc_id", "n_shingles", "key"), level
+
+
+def short_lists(texts: DataFrame, level: np.ndarray) -> DataFrame:
     """``token, salt, code``: the inverted lists of every set's short side, once per task and class.
 
-    Tokens of crowded buckets are salted, so that no list meets whole in one task.
+    Shingles are ordered by level, then by hash. Lists of crowded buckets are salted, so that none meets whole in one task.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(crowded))
+    shared = texts.sparkSession.sparkContext.broadcast(zlib.compress(level.tobytes(), 1))
 
     def scan(batches):
-        late = np.unpackbits(shared.value).astype(bool)
+        levels = np.frombuffer(zlib.decompress(shared.value), np.uint8)
         seen = set()
         for batch in batches:
             tokens, salts, codes = [], [], []
@@ -162,14 +171,15 @@ def short_lists(texts: DataFrame, crowded: np.ndarray) -> DataFrame:
                 if key in seen:
                     continue
                 seen.add(key)
-                order, plain = ordered(values, late)
-                order = order[: prefix_length(len(values))]
+                own = levels[(values >> np.uint64(63 - BUCKET_BITS)).astype(np.int64)]
+                if own.any():
+                    order = np.argsort(own, kind="stable")
+                    values, own = values[order], own[order]
+                short = prefix_length(len(values))
                 code = short_code(key)
-                salt = np.full(len(order), -1, np.int8)
-                salt[plain:] = code % SALTS
-                tokens.append(order)
-                salts.append(salt)
-                codes.append(np.full(len(order), code, np.int64))
+                tokens.append(values[:short])
+                salts.append(np.where(own[:short] > 0, code % SALTS, -1).astype(np.int8))
+                codes.append(np.full(short, code, np.int64))
             if tokens:
                 columns = [pa.array(np.concatenate(x)) for x in (tokens, salts, codes)]
                 columns[0] = columns[0].cast(pa.int64())
@@ -185,12 +195,12 @@ def candidate_edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """
     # Equal classes of several tasks are one entry; a list of one class leads nowhere.
     counted = lists.distinct().withColumn("df", F.expr("count(1) OVER (PARTITION BY token, salt)")).where("df > 1 OR salt >= 0")
-    entries = staged(counted.join(classes.select("code", "n"), "code").select("token", "salt", "df", "code", "n"), "short-lists")
-    long_entries = entries.where(f"salt >= 0 OR df > {SHORT}")
+    entries = staged(counted.join(classes.select("code", "n"), "code").select("token", "salt", "code", "n"), "short-lists")
+    long_entries = entries.where("salt >= 0")
     long_side = long_entries.groupBy("code").agg(F.count("*").alias("long"))
     # The set whose short side ends first has all its matches there, in merged or in long lists.
     beyond = F.col("n") - F.floor((100 - PERCENT) * F.col("n") / 100) - 1
-    merged = entries.where(f"salt < 0 AND df <= {SHORT}").join(long_side, "code", "left")
+    merged = entries.where("salt < 0").join(long_side, "code", "left")
     merged = merged.select("token", "code", "n", (beyond + F.coalesce("long", F.lit(0))).alias("rest"))
     a, b = merged.alias("a"), merged.alias("b")
     close = f"a.token = b.token AND a.code < b.code AND {PERCENT} * greatest(a.n, b.n) <= 100 * least(a.n, b.n)"
@@ -254,9 +264,9 @@ def search_sets(keys, payloads, asks, forest):
     return divide_skip(names, sets, np.array(asking), forest) if sets else ()
 
 
-def links_of(texts: DataFrame, classes: DataFrame, crowded: np.ndarray) -> DataFrame:
+def links_of(texts: DataFrame, classes: DataFrame, level: np.ndarray) -> DataFrame:
     """``u, v``: links between the first ids of classes, enough of them to connect what is connected."""
-    parts = components(candidate_edges(short_lists(texts, crowded), classes))
+    parts = components(candidate_edges(short_lists(texts, level), classes))
     blocks = parts.select(F.col("node").alias("code"), F.col("component").alias("block")).join(classes, "code")
     sizes = staged(blocks.groupBy("block").agg(F.count("*").alias("count")).where("count > 1"), "block-sizes")
     wanted = staged(blocks.join(sizes, "block").select("block", "count", F.col("key").alias("class_key"), "first"), "blocks")
@@ -276,10 +286,10 @@ def join_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     empty table gives no rows. Other columns are not carried.
     """
     texts = documents_of(docs, id_column, text_column)
-    rows, crowded = sets_of(texts)
+    rows, level = sets_of(texts)
     classes = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"))
     classes = staged(classes.withColumn("code", _code(F.col("key"))), "classes")
-    parts = components(links_of(texts, classes, crowded)).select(F.col("node").alias("first"), F.col("component").alias("component_id"))
+    parts = components(links_of(texts, classes, level)).select(F.col("node").alias("first"), F.col("component").alias("component_id"))
     named = classes.join(parts, "first", "left").select("key", F.coalesce("component_id", "first").alias("component_id"))
     return rows.join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -58,27 +58,26 @@ def corpus(seed, n, edits):
     return rows
 
 
-@pytest.mark.parametrize("seed,edits,block,short", [(1, 9, 1024, 16), (2, 9, 20, 3), (3, 16, 10, 2), (4, 3, 8, 16)])
-def test_join_against_all_pairs(spark, monkeypatch, seed, edits, block, short):
+@pytest.mark.parametrize("seed,edits,block,roomy", [(1, 9, 1024, 16), (2, 9, 20, 3), (3, 16, 10, 1), (4, 3, 8, 1000)])
+def test_join_against_all_pairs(spark, monkeypatch, seed, edits, block, roomy):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
-    monkeypatch.setattr(ngram_join, "SHORT", short)
+    monkeypatch.setattr(ngram_join, "ROOMY", roomy)
     rows = corpus(seed, 400, edits)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, key string, n int").repartition(5)
     got = sorted(tuple(r) for r in ngram_join.join_documents(docs).collect())
     assert got == plain_join(rows)
 
 
-def test_crowded_shingles_change_nothing(spark, monkeypatch):
+def test_levels_change_nothing(spark, monkeypatch):
     rows = corpus(5, 200, 9)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = ngram_join.sets_of
 
-    def crowded(texts):
-        sets, bits = found(texts)
-        bits[np.random.default_rng(1).integers(0, len(bits), len(bits) // 2)] = True
-        return sets, bits
+    def levelled(texts):
+        sets, level = found(texts)
+        return sets, np.random.default_rng(1).integers(0, 3, len(level)).astype(np.uint8)
 
-    monkeypatch.setattr(ngram_join, "sets_of", crowded)
+    monkeypatch.setattr(ngram_join, "sets_of", levelled)
     assert sorted(tuple(r) for r in ngram_join.join_documents(docs).collect()) == plain_join(rows)
 
 
