@@ -8,22 +8,23 @@ from pyspark.sql import functions as F
 from captide.functions.identifiers import normal_date
 from captide.operators.ordering import first_in_order
 
-# The collection that is searched and the default row limit.
+# The collection that is searched, and the row limit of the original search for those who want it.
 COLLECTION = "tvarchive"
 SEARCH_LIMIT = 1_500_000
 
 
 def search_catalogue(
-    shows: DataFrame, start_date: str | None = None, limit: int = SEARCH_LIMIT, collection: str = COLLECTION
+    shows: DataFrame, start_date: str | None = None, limit: int | None = None, collection: str = COLLECTION
 ) -> DataFrame:
-    """Identifiers of a collection, from a date on, at most ``limit`` in identifier order.
+    """Identifiers of a collection, from a date on: all, or the first ``limit`` in identifier order.
 
     The date is checked loosely and may lack leading zeros. ``shows`` has ``identifier``, ``collection ARRAY<STRING>`` and ``date STRING``.
     """
     found = shows.filter(F.array_contains("collection", collection))
     if start_date:
         found = found.filter(F.col("date") >= normal_date(start_date))
-    return first_in_order(found.select("identifier"), "identifier", limit)
+    found = found.select("identifier")
+    return found if limit is None else first_in_order(found, "identifier", limit)
 
 
 def lookup(df: DataFrame, column: str, values: list) -> DataFrame:

@@ -34,9 +34,22 @@ def _semi(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def _is_broken(interval: Column) -> Column:
-    """Not a pair of bounds."""
-    low, high = F.get(interval, F.lit(0)), F.get(interval, F.lit(1))
-    return interval.isNull() | (F.size(interval) != 2) | low.isNull() | high.isNull()
+    """Not a pair with a lower bound: a fault for every segment that gets to it."""
+    return interval.isNull() | (F.size(interval) != 2) | F.get(interval, F.lit(0)).isNull()
+
+
+def _is_open(interval: Column) -> Column:
+    """A pair without an upper bound: a fault for a segment that gets to that bound."""
+    return F.get(interval, F.lit(1)).isNull()
+
+
+def _meets_open(segment: Column, intervals: Column) -> Column:
+    """Whether a segment gets to a missing upper bound before an interval that it touches."""
+    low = lambda interval: F.get(interval, F.lit(0))
+    asks = lambda interval: _is_open(interval) & ((segment["start_ms"] >= low(interval)) | (segment["end_ms"] >= low(interval)))
+    first_open = F.array_position(F.transform(intervals, asks), True)
+    first_touched = F.array_position(F.transform(intervals, lambda interval: touches(segment, interval)), True)
+    return (first_open > 0) & ((first_touched == 0) | (first_open < first_touched))
 
 
 def touches(segment: Column, interval: Column) -> Column:
@@ -79,11 +92,13 @@ def cut_segments(shows: DataFrame, segments: str = "segments", intervals: str =
     )
     others = [F.col(f"`{name}`") for name in shows.columns if name not in (segments, intervals)]
     # A generator of one row: later uses of ``kept`` read its result and do not cut again.
-    cut = shows.select(*others, F.inline(F.array(F.struct(kept.alias("kept")))))
-    problem = F.when(F.col("is_broken") & (F.size("kept") > 0), "interval is not a pair").when(
+    has_open = F.exists(intervals, _is_open)
+    stuck = has_open & F.exists(segments, lambda segment: _meets_open(segment, F.col(intervals)))
+    cut = shows.select(*others, F.inline(F.array(F.struct(kept.alias("kept"), F.coalesce(stuck, F.lit(False)).alias("is_stuck")))))
+    problem = F.when(F.col("is_stuck") | F.col("is_broken") & (F.size("kept") > 0), "interval is not a pair").when(
         F.exists("kept", lambda left_over: left_over["text"].isNull()), "segment without snippet"
     )
-    return cut.withColumn("cut_error", problem).drop("is_broken")
+    return cut.withColumn("cut_error", problem).drop("is_broken", "is_stuck")
 
 
 def joined_text(segments: Column) -> Column:
@@ -93,13 +108,14 @@ def joined_text(segments: Column) -> Column:
 
 def segment_pages(pages: DataFrame, edition: Edition, content: str = "content") -> DataFrame:
     """Replace ``content`` by ``segments`` and ``page_error``: one parse per page."""
-    parsed = spread(pages).withColumn("__page", parse_containers(F.col(content))).drop(content)
+    parsed = spread(pages).withColumn("__page", parse_containers(F.col(content)))
+    missing = F.when(F.col(content).isNull(), "no content")
     return parsed.withColumns(
         {
             "segments": timed_segments(F.col("__page.containers"), edition),
-            "page_error": F.col("__page.error"),
+            "page_error": F.coalesce(missing, F.col("__page.error")),
         }
-    ).drop("__page")
+    ).drop("__page", content)
 
 
 def examine_pages(pages: DataFrame, commercials: DataFrame, edition: Edition) -> DataFrame:

@@ -10,14 +10,17 @@ from captide.functions.tags import parse_tags, tag_value
 from captide.operators.skew import balanced_join
 from captide.session import broadcast_if_small, spread
 
-MAX_TAGS = 20_000
-
 
 def tag_documents(documents: DataFrame, compat: bool = False) -> DataFrame:
     """``(identifier, tags, error, truncated)`` of metadata documents."""
     documents = spread(documents.select("identifier", "content"))
-    parsed = documents.select("identifier", parse_tags(F.col("content"), compat).alias("parsed"))
-    return parsed.select("identifier", "parsed.tags", "parsed.error", "parsed.truncated")
+    parsed = documents.select("identifier", "content", parse_tags(F.col("content"), compat).alias("parsed"))
+    return parsed.select("identifier", "parsed.tags", error_or_missing("parsed.error"), "parsed.truncated")
+
+
+def error_or_missing(error: str) -> Column:
+    """The error of a parsed document; one without content is faulty too."""
+    return F.when(F.col("content").isNull(), "no content").otherwise(F.col(error)).alias("error")
 
 
 def good_tags(parsed: DataFrame) -> DataFrame:
@@ -36,8 +39,8 @@ def caption_texts(pages: DataFrame) -> DataFrame:
     Pages without captions have an empty text.
     """
     pages = spread(pages.select("identifier", "content"))
-    parsed = pages.select("identifier", parse_snippets(F.col("content")).alias("page"))
-    return parsed.select("identifier", F.array_join("page.snippets", "").alias("text"), F.col("page.error").alias("error"))
+    parsed = pages.select("identifier", "content", parse_snippets(F.col("content")).alias("page"))
+    return parsed.select("identifier", F.array_join("page.snippets", "").alias("text"), error_or_missing("page.error"))
 
 
 def tag_inventory(tagged: DataFrame) -> DataFrame:
@@ -46,14 +49,8 @@ def tag_inventory(tagged: DataFrame) -> DataFrame:
 
 
 def tag_names(tagged: DataFrame) -> list[str]:
-    """The sorted tag names, for use as columns.
-
-    The only data that reaches the driver; an absurd number of names is refused.
-    """
-    names = [row["tag"] for row in tag_inventory(tagged).limit(MAX_TAGS + 1).collect()]
-    if len(names) > MAX_TAGS:
-        raise ValueError(f"more than {MAX_TAGS} different tags; are these metadata documents?")
-    return sorted(names)
+    """The sorted tag names, for use as columns: the only data that reaches the driver."""
+    return sorted(row["tag"] for row in tag_inventory(tagged).collect())
 
 
 def widen(tagged: DataFrame, names: list[str], *others: Column | str) -> DataFrame:
@@ -74,8 +71,13 @@ def listed_documents(identifiers: DataFrame, *documents: DataFrame) -> list[Data
     """Documents of each kind that belong to listed shows, so that only these are parsed.
 
     Applied when the list is small enough to broadcast. With a larger list nothing
-    is dropped here, as raw documents would have to be shuffled; the join after
-    parsing removes the rest.
+    is dropped here, as raw documents would have to be shuffled; ``only_listed`` removes
+    the rest after parsing.
     """
     wanted, small = broadcast_if_small(identifiers.select("identifier").distinct())
     return [kind.join(wanted, "identifier", "left_semi") if small else kind for kind in documents]
+
+
+def only_listed(identifiers: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Parsed documents of listed shows: tags and texts are small enough to be joined with any list."""
+    return parsed.join(identifiers.select("identifier").distinct(), "identifier", "left_semi")

@@ -11,22 +11,17 @@ from captide.session import broadcast_if_small, staged
 
 # A key counts as heavy from this many rows on; shows carry whole caption texts.
 HEAVY_ROWS = 20_000
-MAX_HEAVY_KEYS = 500
-# A sketch stays below half a megabyte per task and finds every key that holds more
-# than about one row in four thousand.
-SKETCH_ITEMS = 5_000
 
 
 def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> dict:
-    """Keys with at least ``heavy_rows`` rows and their approximate counts, at most 500.
+    """Keys with at least ``heavy_rows`` rows and their counts.
 
-    One scan of the key column into a mergeable frequency sketch: no shuffle of
-    keys, and only the sketch reaches the driver. The counts steer the salting and
-    have no influence on results; every key found does occur.
+    One scan of the key column and a count that is combined before its shuffle. The
+    driver gets the heavy keys alone, one for ``heavy_rows`` rows at most.
     """
-    sketch = F.expr(f"approx_top_k(`{key}`, {MAX_HEAVY_KEYS}, {SKETCH_ITEMS})")
-    found = df.select(F.col(f"`{key}`")).agg(sketch.alias("top")).first()["top"] or []
-    return {item["item"]: item["count"] for item in found if item["item"] is not None and item["count"] >= heavy_rows}
+    counts = df.groupBy(F.col(f"`{key}`").alias("key")).count()
+    heavy = counts.where(F.col("key").isNotNull() & (F.col("count") >= heavy_rows))
+    return {row["key"]: row["count"] for row in heavy.collect()}
 
 
 def _salt_counts(counts: dict, heavy_rows: int) -> dict:
@@ -39,7 +34,7 @@ def _salts(key: str, counts: dict, heavy_rows: int) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*literals), F.col(key)), F.lit(1)).cast("bigint")
 
 
-def _salted(df: DataFrame, key: str, counts: dict, heavy_rows: int, salt: str) -> DataFrame:
+def salted(df: DataFrame, key: str, counts: dict, heavy_rows: int, salt: str) -> DataFrame:
     """Give each row of a heavy key one of its salts, 0 to all other rows.
 
     Salts follow the row number within the task, so copies of a row are spread
@@ -78,7 +73,7 @@ def balanced_join(
     result. Semi and anti joins have no such growth and are left to adaptive skew
     handling.
 
-    Inputs are read once for the sketch, by their key alone, and once for each part:
+    Inputs are read once for the counts, by their key alone, and once for each part:
     store what is costly to compute before joining it.
     """
     if how not in ("inner", "left"):
@@ -106,15 +101,15 @@ def balanced_join(
             cores = left.sparkSession.sparkContext.defaultParallelism
             parts.append(near.repartition(max(tasks, 2 * cores)).join(far, key, how))
         else:
-            near = _salted(near, key, left_only, heavy_rows, "__ls").repartition(tasks, key, "__ls")
+            near = salted(near, key, left_only, heavy_rows, "__ls").repartition(tasks, key, "__ls")
             far = _replicated(far, key, left_only, heavy_rows, "__ls")
             parts.append(near.join(far, [key, "__ls"], how).drop("__ls"))
     if right_heavy:
         # These keys exist on the right, so an outer join has nothing to fill in.
         both = {k: n for k, n in left_heavy.items() if k in right_heavy}
-        near = _salted(rows(left, right_heavy), key, both, heavy_rows, "__ls")
+        near = salted(rows(left, right_heavy), key, both, heavy_rows, "__ls")
         near = _replicated(near, key, right_heavy, heavy_rows, "__rs")
-        far = _salted(rows(right, right_heavy), key, right_heavy, heavy_rows, "__rs")
+        far = salted(rows(right, right_heavy), key, right_heavy, heavy_rows, "__rs")
         far = _replicated(far, key, both, heavy_rows, "__ls")
         of_left = _salt_counts(both, heavy_rows)
         tasks = sum(n * of_left.get(k, 1) for k, n in _salt_counts(right_heavy, heavy_rows).items())

@@ -24,14 +24,15 @@ def parse_shows(identifiers: DataFrame, meta: DataFrame, pages: DataFrame, work:
     """The wide show table and the quarantine of a list of shows.
 
     Each document is parsed once, into a table under ``work``. Column names come from
-    the keys in that table, so finding them does not parse again.
+    the keys in that table, so finding them does not parse again. Documents of shows that are
+    not listed give no column and no fault, whatever the size of the list.
     """
     spark = identifiers.sparkSession
     parsed_path, texts_path = f"{work}/tags", f"{work}/texts"
     meta, pages = shows.listed_documents(identifiers, meta, pages)
     shows.tag_documents(meta).write.parquet(parsed_path)
     shows.caption_texts(pages).write.parquet(texts_path)
-    parsed, texts = spark.read.parquet(parsed_path), spark.read.parquet(texts_path)
+    parsed, texts = (shows.only_listed(identifiers, spark.read.parquet(path)) for path in (parsed_path, texts_path))
     tagged = shows.good_tags(parsed)
     names = shows.tag_names(tagged)
     assembled = shows.assemble_shows(identifiers, tagged, texts.filter(F.col("error").isNull()))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from captide.operators.skew import heavy_keys
+from captide.operators.skew import HEAVY_ROWS, heavy_keys, salted
 
 CSV_OPTIONS = {
     "header": True,
@@ -63,13 +63,10 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
 
     Joins of two such tables on the key, with the same number of buckets, need no shuffle:
     worth it for pages, segments and corpus rows, which are joined again and again. A key
-    with very many rows would put them all in one bucket and is refused.
+    with very many rows is written by several tasks, into several files of its bucket.
     """
-    heavy = heavy_keys(df, key)
-    if heavy:
-        raise ValueError(f"too many rows for one bucket: {', '.join(map(str, list(heavy)[:5]))}; use balanced_join")
-    spread = df.repartition(buckets, key)
-    spread.write.bucketBy(buckets, key).sortBy(key).format("parquet").mode("overwrite").saveAsTable(table)
+    dealt = salted(df, key, heavy_keys(df, key), HEAVY_ROWS, "__salt").repartition(buckets, key, "__salt").drop("__salt")
+    dealt.write.bucketBy(buckets, key).sortBy(key).format("parquet").mode("overwrite").saveAsTable(table)
 
 
 def write_release(

@@ -11,13 +11,14 @@ from captide.sources.files import block_order
 SCHEMA = "archive_id STRING, intervals ARRAY<ARRAY<DOUBLE>>"
 
 
-def read_commercials(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+def read_commercials(spark: SparkSession, path: str, lines: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """``(archive_id, intervals, pos)``; ``pos`` orders records as they stand in the files.
 
     ``lines`` reads one record per line, which Spark can split. Without it each
-    file is one JSON array, read by a single task.
+    file is one JSON array, read by a single task. A record that is no JSON of this form, such
+    as a line of an indented array, ends the read; ``mode="DROPMALFORMED"`` leaves it out.
     """
-    records = spark.read.schema(SCHEMA).option("multiLine", not lines).json(path)
+    records = spark.read.schema(SCHEMA).option("multiLine", not lines).option("mode", mode).json(path)
     return records.select(
         "archive_id",
         "intervals",

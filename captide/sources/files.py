@@ -9,10 +9,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Schemes that Arrow opens under their own name.
+SCHEMES = ("s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
+
+
 def locate(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system and path of a location as Spark names it; bare paths are local."""
-    if "://" not in uri or uri.startswith("file://"):
+    scheme, _, rest = uri.partition(":")
+    if uri.startswith("/") or not rest or scheme == "file":
         return fs.LocalFileSystem(), uri.removeprefix("file://").removeprefix("file:")
+    if scheme in ("s3a", "s3n"):
+        uri = f"s3:{rest}"
+    elif scheme not in SCHEMES:
+        raise ValueError(f"cannot open {uri!r} from a task: no file system for {scheme!r}")
     return fs.FileSystem.from_uri(quote(uri, safe="/:@?&=+,;"))
 
 

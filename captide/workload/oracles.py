@@ -80,8 +80,15 @@ ORACLES = {
         UNION ALL SELECT archive_id, 1, 83000, 87000 FROM records
         UNION ALL SELECT archive_id, 2, 155000.5, 171000 FROM records
         UNION ALL SELECT archive_id, 0, 0, 1e9 FROM records WHERE toxic = 1""",
+    "commercial_json_array": f"""
+        WITH {_DOCS}, {_LABELLED}, {_RECORDS}
+        SELECT archive_id, CAST(0 AS BIGINT) AS n, a AS low, a + 25000 AS high FROM records
+        UNION ALL SELECT archive_id, 1, 83000, 87000 FROM records
+        UNION ALL SELECT archive_id, 2, 155000.5, 171000 FROM records
+        UNION ALL SELECT archive_id, 0, 0, 1e9 FROM records WHERE toxic = 1""",
+    "caption_encodings": f"SELECT {_SHOW} AS identifier, 'é ü ñ ' || CAST(n_chars AS VARCHAR) AS text FROM documents",
     "corpus_csv_roundtrip": f"SELECT {_SHOW} AS identifier, lang, text FROM documents",
-    "preview_projection": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 1000",
+    "preview_projection": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 120",
     "positional_look": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 1 OFFSET 1",
     "archive_listing_ids": f"SELECT {_SHOW} AS archive_id FROM documents WHERE lang = 'en'",
     "archive_member_extract": f"""

@@ -21,6 +21,7 @@ from captide.workload import inputs
 from captide.workload.inputs import table
 
 QUERIES = {}
+ARCHIVE_BYTES = 16 * 1024 * 1024
 
 
 def query(function):
@@ -82,6 +83,40 @@ def commercial_json_scan(spark, sf_dir):
     )
 
 
+@query
+def commercial_json_array(spark, sf_dir):
+    """The records as files that hold one JSON array each."""
+    path = shared_folder(spark, "commercial-arrays")
+    records = inputs.commercial_records(spark, sf_dir)
+    line = F.to_json(F.struct("archive_id", "intervals"))
+    part = F.pmod(F.xxhash64("archive_id"), F.lit(8)).alias("part")
+    arrays = records.groupBy(part).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list(line), ",\n"), F.lit("\n]")).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    scanned = commercial_source.read_commercials(spark, f"{path}/part=*", lines=False)
+    rows = scanned.select("archive_id", F.posexplode("intervals").alias("n", "pair"))
+    return rows.select(
+        "archive_id", F.col("n").cast("bigint").alias("n"), F.get("pair", F.lit(0)).alias("low"), F.get("pair", F.lit(1)).alias("high")
+    )
+
+
+@query
+def caption_encodings(spark, sf_dir):
+    """Page texts under four declarations of their charset, or under none that counts."""
+    text = F.concat(F.lit("é ü ñ "), F.col("n_chars").cast("string"))
+    filler = F.lit("<!-- " + "x" * 5000 + " -->")
+    kind = F.pmod("doc_id", F.lit(4))
+    latin = lambda head: F.encode(F.concat(head, F.lit("<body><div class='snipin nosel'>"), text, F.lit("</div></body></html>")), "ISO-8859-1")
+    utf8 = lambda head: F.encode(F.concat(head, F.lit("<body><div class='snipin nosel'>"), text, F.lit("</div></body></html>")), "UTF-8")
+    content = (
+        F.when(kind == 0, latin(F.lit("<html><head><meta charset='iso-8859-1'></head>")))
+        .when(kind == 1, latin(F.concat(F.lit("<html><head>"), filler, F.lit("<meta charset='iso-8859-1'></head>"))))
+        .when(kind == 2, latin(F.lit("<?xml version='1.0' encoding='iso-8859-1'?><html><head></head>")))
+        .otherwise(utf8(F.lit("<html><head><script charset='iso-8859-1'></script><meta charset='utf-8'></head>")))
+    )
+    shown = inputs.shows(spark, sf_dir).select("identifier", content.alias("content"))
+    return shows.caption_texts(shown).select("identifier", "text")
+
+
 @query
 def corpus_csv_roundtrip(spark, sf_dir):
     path = shared_folder(spark, "corpus")
@@ -91,7 +126,7 @@ def corpus_csv_roundtrip(spark, sf_dir):
 
 @query
 def preview_projection(spark, sf_dir):
-    return ordering.preview(inputs.shows(spark, sf_dir), 1000, ["identifier", "text"], "doc_id")
+    return ordering.preview(inputs.shows(spark, sf_dir), 120, ["identifier", "text"], "doc_id")
 
 
 @query
@@ -114,7 +149,8 @@ def _archived_pages(spark, sf_dir, settings, mode, suffix):
     folder = shared_folder(spark, "archives")
     member = identifiers.member_name(F.col("identifier"), settings)
     members = inputs.shows(spark, sf_dir).select(member.alias("name"), F.col("text").cast("binary").alias("content"))
-    inputs.write_archives(members.repartition(4), folder, mode, suffix)
+    size = members.agg(F.sum(F.octet_length("content").cast("bigint"))).first()[0] or 0
+    inputs.write_archives(members.repartition(4 + size // ARCHIVE_BYTES), folder, mode, suffix)
     return archives.list_archives(spark, folder)
 
 
@@ -342,7 +378,7 @@ def release_manifest(spark, sf_dir):
     manifest = sink.release_manifest(spark.read.parquet(path))
     return manifest.groupBy("edition").agg(
         F.sum("rows").alias("rows"),
-        F.max(F.col("rows") <= 200).alias("bounded"),
+        F.min(F.col("rows") <= 200).alias("bounded"),
         F.min(F.col("bytes") > 0).alias("sized"),
     )
 

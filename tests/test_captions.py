@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from captide.editions import EDITIONS, edition
 from captide.functions import captions
 from captide.functions.captions import read_containers, read_snippets
+from captide.functions.documents import declared_charset
 from captide.operators import shows
 
 
@@ -158,3 +159,18 @@ def test_text_may_exceed_the_segments(spark):
     texts = {row["identifier"]: row["text"] for row in shows.caption_texts(df).collect()}
     assert texts == {"s": "abc", "e": "", "n": None}
     assert containers(page) == [("/start/1/end/2", "a")]
+
+
+@pytest.mark.parametrize(
+    "page, charset",
+    [
+        (b"<script charset='iso-8859-1'></script><meta charset='utf-8'>", "utf-8"),
+        (b"<link charset='iso-8859-1'><p>no declaration</p>", None),
+        (b"<head>" + b"<!-- filler -->" * 20_000 + b"<meta http-equiv=x content='text/html; charset=Latin-1'>", "Latin-1"),
+        (b"\n<?xml version='1.0' encoding='koi8-r'?><html>", "koi8-r"),
+        (b"<!-- <meta charset='koi8-r'> --><script>'<meta charset=koi8-r>'</script>", None),
+        (b"<head></head><body><meta charset='koi8-r'>", None),
+    ],
+)
+def test_only_declarations_name_a_charset(page, charset):
+    assert declared_charset(page) == charset

@@ -41,6 +41,10 @@ def test_faults_count_only_when_reached(spark):
         ("no text, kept", [(0, 50, 60, None)], [[10.0, 20.0]]),
         ("null bound", [outside], [[None, 20.0]]),
         ("three bounds", [outside], [[1.0, 2.0, 3.0]]),
+        ("open, not reached", [outside], [[1e9, None]]),
+        ("open, reached", [outside], [[55.0, None]]),
+        ("open, cut before", [inside], [[10.0, 20.0], [1.0, None]]),
+        ("open, cut behind", [inside], [[1.0, None], [10.0, 20.0]]),
     ]
     errors = {name: error for name, (_, error) in cut_rows(spark, rows).items()}
     pair, text = "interval is not a pair", "segment without snippet"
@@ -54,6 +58,10 @@ def test_faults_count_only_when_reached(spark):
         "no text, kept": text,
         "null bound": pair,
         "three bounds": pair,
+        "open, not reached": None,
+        "open, reached": pair,
+        "open, cut before": None,
+        "open, cut behind": pair,
     }
 
 

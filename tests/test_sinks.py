@@ -129,18 +129,29 @@ def test_from_files_to_release(spark, tmp_path):
     assert back.count() == 3
 
 
-def test_too_many_tags_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(shows, "MAX_TAGS", 2)
-    tagged = spark.createDataFrame([({"a": [], "b": [], "c": []},)], "tags MAP<STRING, ARRAY<STRING>>")
-    with pytest.raises(ValueError, match="more than 2"):
-        shows.tag_names(tagged)
-
-
-def test_a_heavy_key_is_not_bucketed(spark, monkeypatch):
-    rows = spark.range(100).select(F.lit("same").alias("identifier"))
+@pytest.mark.parametrize("small", [True, False])
+def test_unlisted_documents_leave_no_trace(spark, tmp_path, monkeypatch, small):
+    """The wide table and the quarantine are the same on both sides of the broadcast bound."""
+    monkeypatch.setattr(shows, "broadcast_if_small", lambda df: (df, small))
+    listed = spark.createDataFrame([("s1",), ("s2",)], "identifier STRING")
+    documents = [("s1", "<m><a>1</a></m>"), ("s2", "<m><b>2</b"), ("u1", "<m><own>3</own></m>"), ("u2", "broken"), ("s3", None)]
+    meta = spark.createDataFrame([(i, x and x.encode()) for i, x in documents], "identifier STRING, content BINARY")
+    pages = spark.createDataFrame([("s1", b"<div class='snipin nosel'>t</div>"), ("u1", b"x"), ("s2", None), ("u2", None)], "identifier STRING, content BINARY")
+    wide, quarantine = plan.parse_shows(listed, meta, pages, str(tmp_path))
+    assert "own" not in wide.columns and [r.asDict()["text"] for r in wide.filter("identifier = 's1'").collect() or wide.collect()][:1] == ["t"]
+    faults = sorted((r["identifier"], r["stage"]) for r in quarantine.collect())
+    assert ("s2", "page") in faults and all(name in ("s1", "s2") for name, _ in faults)
+
+
+def test_a_heavy_key_is_bucketed_whole(spark, monkeypatch):
+    rows = spark.range(100).select(F.when(F.col("id") < 90, "same").otherwise(F.col("id").cast("string")).alias("identifier"), "id")
     monkeypatch.setattr(sink, "heavy_keys", lambda df, key: heavy_keys(df, key, 50))
-    with pytest.raises(ValueError, match="same"):
-        sink.write_bucketed(rows, "never", "identifier", 4)
+    monkeypatch.setattr(sink, "HEAVY_ROWS", 20)
+    sink.write_bucketed(rows, "heavy_bucketed", "identifier", 4)
+    try:
+        assert sorted(r["id"] for r in spark.table("heavy_bucketed").collect()) == list(range(100))
+    finally:
+        spark.sql("DROP TABLE heavy_bucketed")
 
 
 def test_only_small_inputs_in_few_files_are_spread(spark, tmp_path, monkeypatch):

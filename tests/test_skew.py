@@ -71,6 +71,11 @@ def test_heavy_keys_among_very_many(spark):
     assert set(heavy_keys(rows, "k")) == {"third"}
 
 
+def test_every_heavy_key_is_found(spark):
+    rows = spark.range(90_000).select(F.when(F.col("id") < 60_000, F.col("id") % 600).otherwise(F.col("id")).alias("k"))
+    assert heavy_keys(rows, "k", 100) == {k: 100 for k in range(600)}
+
+
 def test_numeric_keys(spark):
     left = spark.createDataFrame([(7, n) for n in range(100)] + [(8, 1)], "k BIGINT, a INT")
     right = spark.createDataFrame([(7, 1), (8, 2)], "k BIGINT, b INT")

@@ -12,6 +12,7 @@ from captide.sinks.documents import write_documents
 from captide.sources import archives, corpus, identifiers
 from captide.sources.commercials import read_commercials
 from captide.sources.documents import read_documents, scan_documents
+from captide.sources.files import locate
 from captide.sources.identifiers import read_archive_listing, read_identifiers, skip_identifiers
 
 
@@ -193,3 +194,22 @@ def test_pending_work_and_report(spark):
     tagged = spark.createDataFrame([("a", {"x": ["1"], "y": []}), ("b", {"y": ["2"]})], "identifier STRING, tags MAP<STRING, ARRAY<STRING>>")
     report = {r["measure"]: r["n"] for r in catalogue.ingest_report(ids("a", "b", "c", "c"), stored, tagged).collect()}
     assert report == {"listed": 4, "stored_meta": 2, "stored_page": 1, "tags": 2}
+
+
+def test_faulty_records_end_the_read(spark, tmp_path):
+    (tmp_path / "array.json").write_text(json.dumps([{"archive_id": "a", "intervals": [[1, 2]]}] * 2, indent=1))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_commercials(spark, str(tmp_path / "array.json")).collect()
+    assert read_commercials(spark, str(tmp_path / "array.json"), lines=False).count() == 2
+    (tmp_path / "c.csv").write_text('"a","b"\n"1","2","3"\n"4","5"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        corpus.read_corpus(spark, str(tmp_path / "c.csv")).collect()
+    kept = corpus.read_corpus(spark, str(tmp_path / "c.csv"), mode="DROPMALFORMED").collect()
+    assert [tuple(r) for r in kept] == [("4", "5")]
+
+
+def test_unknown_schemes_are_refused():
+    for uri in ("dbfs:/mnt/x", "wasb://c@a/x"):
+        with pytest.raises(ValueError, match="no file system"):
+            locate(uri)
+    assert locate("file:/tmp/x")[1] == locate("/tmp/x")[1] == locate("file:///tmp/x")[1] == "/tmp/x"
