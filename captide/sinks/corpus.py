@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from captide.operators.skew import HEAVY_ROWS, heavy_keys, salted
 
@@ -26,14 +27,27 @@ def write_corpus(df: DataFrame, path: str, max_rows: int = 0, compression: str =
     )
 
 
-def append_shows(df: DataFrame, path: str, existing: list[str], schema_mode: str = "merge") -> list[str]:
+def stored_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a show table, from its files; none if there is no table yet."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path).columns
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        raise
+
+
+def append_shows(df: DataFrame, path: str, existing: list[str] | None = None, schema_mode: str = "merge") -> list[str]:
     """Append rows to a Parquet show table and return its columns from now on.
 
     Values go by name, so a new or a missing tag never moves another column.
-    ``merge`` adds new columns, ``fail`` refuses them.
+    ``merge`` adds new columns, ``fail`` refuses them. The columns that the table has are
+    read from it; who knows them for certain may give them as ``existing``.
     """
     if schema_mode not in ("merge", "fail"):
         raise ValueError(f"schema_mode must be merge or fail, not {schema_mode!r}")
+    if existing is None:
+        existing = stored_columns(df.sparkSession, path)
     new = [name for name in df.columns if name not in existing]
     if existing and new and schema_mode == "fail":
         raise ValueError(f"columns not in the table: {', '.join(new)}")

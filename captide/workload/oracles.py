@@ -150,6 +150,10 @@ ORACLES = {
     "merge_nc": f"""
         WITH {_CUT_CHAIN}
         SELECT d.identifier, d.text, c.text_nc FROM docs d LEFT JOIN cut c ON c.archive_id = d.identifier""",
+    "release_edition_2023": f"""
+        WITH {_CUT_CHAIN}
+        SELECT d.identifier, replace(d.text, chr(10), '\\n') AS text, c.text_nc, '2023' AS edition
+        FROM docs d LEFT JOIN cut c ON c.archive_id = d.identifier""",
     "nc_coverage": f"""
         WITH {_CUT_CHAIN}
         SELECT d.text, c.text_nc FROM docs d JOIN cut c ON c.archive_id = d.identifier""",

@@ -243,8 +243,8 @@ def append_schema_merge(spark, sf_dir):
     parsed = inputs.labelled_or_not(spark, sf_dir)
     old = parsed.filter("quality IS NULL").select("identifier", F.col("lang").alias("language"), "text")
     new = parsed.filter("quality IS NOT NULL").select("identifier", F.col("quality").cast("string").alias("thumbs"), "text")
-    columns = sink.append_shows(old, path, [])
-    columns = sink.append_shows(new, path, columns)
+    sink.append_shows(old, path)
+    columns = sink.append_shows(new, path)
     return sink.read_shows(spark, path, columns)
 
 
@@ -346,6 +346,17 @@ def merge_nc(spark, sf_dir):
     return _release(spark, sf_dir)
 
 
+@query
+def release_edition_2023(spark, sf_dir):
+    """Stage 4 as a whole: the corpus as CSV with byte literals, stripped, with the cut texts and the edition."""
+    path = shared_folder(spark, "corpus-2023")
+    literal = F.concat(F.lit("b'"), F.replace("text", F.lit("\n"), F.lit("\\n")), F.lit("'"))
+    sink.write_corpus(inputs.shows(spark, sf_dir).select("identifier", literal.alias("text")), path, max_rows=5000)
+    corpus = staged(corpus_source.read_corpus(spark, path, ["identifier", "text"]), "corpus-2023")
+    cleaned = _release(spark, sf_dir).where("text_nc IS NOT NULL").select(F.col("identifier").alias("archive_id"), "text_nc")
+    return plan.release_edition(corpus, cleaned, edition("2023"))
+
+
 @query
 def nc_coverage(spark, sf_dir):
     return release.cleaned_rows(_release(spark, sf_dir), "text", "text_nc")

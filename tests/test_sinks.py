@@ -28,11 +28,11 @@ def test_appends_go_by_name(spark, tmp_path):
     path = str(tmp_path / "shows")
     one = spark.createDataFrame([("a", "t1", "x")], "identifier STRING, text STRING, zone STRING")
     two = spark.createDataFrame([("b", "t2", "th")], "identifier STRING, text STRING, thumbs STRING")
-    columns = sink.append_shows(one, path, [])
+    columns = sink.append_shows(one, path)
     assert columns == ["identifier", "zone", "text"]
     with pytest.raises(ValueError, match="thumbs"):
-        sink.append_shows(two, path, columns, schema_mode="fail")
-    columns = sink.append_shows(two, path, columns)
+        sink.append_shows(two, path, schema_mode="fail")
+    columns = sink.append_shows(two, path)
     assert columns == ["identifier", "thumbs", "zone", "text"]
     expected = [("a", None, "x", "t1"), ("b", "th", None, "t2")]
     assert sorted(tuple(r) for r in sink.read_shows(spark, path, columns).collect()) == expected
