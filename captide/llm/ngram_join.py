@@ -37,6 +37,8 @@ BLOCK = 1024
 BUCKET_BITS = 22
 CHUNKS = 64
 ROOMY = 16
+# A row of the table of candidates has about 60 bytes: at most 30 MB are broadcast, more are shuffled.
+BROADCAST_ROWS = 500_000
 SALTS = 64
 PROBE = 0.0085
 
@@ -193,8 +195,8 @@ def candidate_edges(lists: DataFrame, classes: DataFrame) -> DataFrame:
 
     Two names may be equal by chance; that only makes a block larger.
     """
-    # Equal classes of several tasks are one entry; a list of one class leads nowhere.
-    counted = lists.distinct().withColumn("df", F.expr("count(1) OVER (PARTITION BY token, salt)")).where("df > 1 OR salt >= 0")
+    # Equal classes of several tasks are one entry; a list of one class leads nowhere. One shuffle serves both.
+    counted = lists.repartition("token", "salt").distinct().withColumn("df", F.expr("count(1) OVER (PARTITION BY token, salt)")).where("df > 1 OR salt >= 0")
     entries = staged(counted.join(classes.select("code", "n"), "code").select("token", "salt", "code", "n"), "short-lists")
     long_entries = entries.where("salt >= 0")
     long_side = long_entries.groupBy("code").agg(F.count("*").alias("long"))
@@ -270,6 +272,8 @@ def links_of(texts: DataFrame, classes: DataFrame, level: np.ndarray) -> DataFra
     blocks = parts.select(F.col("node").alias("code"), F.col("component").alias("block")).join(classes, "code")
     sizes = staged(blocks.groupBy("block").agg(F.count("*").alias("count")).where("count > 1"), "block-sizes")
     wanted = staged(blocks.join(sizes, "block").select("block", "count", F.col("key").alias("class_key"), "first"), "blocks")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     found = texts.join(wanted, texts.doc_id == wanted["first"])
     payload = F.concat("class_key", F.encode("text", "UTF-8")).alias("payload")
     members = staged(found.select("block", "count", F.col("first").alias("key"), payload), "block-texts")
