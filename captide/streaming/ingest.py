@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from captide.functions.identifiers import GZIP_SUFFIX
 from captide.operators.shows import caption_texts, tag_documents
-from captide.session import broadcast_if_small
+from captide.session import broadcast_if_small, staged
 from captide.sources.documents import SUFFIXES
 
 PARSERS = {"meta": tag_documents, "page": caption_texts}
@@ -45,19 +45,28 @@ def file_stream(spark: SparkSession, folder: str, kind: str, max_files: int | No
     )
 
 
-def new_documents(batch: DataFrame, ingested: DataFrame | None) -> DataFrame:
-    """The first document of each show in the batch that is not ingested yet.
+def chosen_documents(batch: DataFrame, ingested: DataFrame | None) -> DataFrame:
+    """``(identifier, origin)`` of the first document of each show that is not ingested yet.
 
-    Decided on identifiers and origins alone; the content is read afterwards, for the
-    chosen rows. The ingested identifiers are reduced to those of the batch before
-    the anti join, so that only matches move.
+    The ingested identifiers are reduced to those of the batch before the anti join, so
+    that only matches move.
     """
     first = batch.groupBy("identifier").agg(F.min("origin").alias("origin"))
     if ingested is not None:
         arrived, _ = broadcast_if_small(batch.select("identifier"))
         known = ingested.select("identifier").join(arrived, "identifier", "left_semi")
         first = first.join(known, "identifier", "left_anti")
-    chosen, _ = broadcast_if_small(first)
+    return first
+
+
+def new_documents(batch: DataFrame, ingested: DataFrame | None) -> DataFrame:
+    """The first document of each show in the batch that is not ingested yet.
+
+    Decided on identifiers and origins alone; the content is read afterwards, for the
+    chosen rows. That holds for a batch in files: the rows that a stream hands over
+    are no scan, so ``ingest`` stores them first.
+    """
+    chosen, _ = broadcast_if_small(chosen_documents(batch, ingested))
     return batch.join(chosen, ["identifier", "origin"], "left_semi").select("identifier", "content")
 
 
@@ -71,7 +80,7 @@ def ingest(stream: DataFrame, kind: str, target: str, checkpoint: str) -> None:
     parse = PARSERS[kind]
 
     def append(batch: DataFrame, _batch_id: int) -> None:
-        documents = new_documents(batch, _existing(spark, target))
+        documents = new_documents(staged(batch, "arrived"), _existing(spark, target))
         parse(documents).write.mode("append").parquet(target)
 
     query = (

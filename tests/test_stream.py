@@ -82,3 +82,12 @@ def test_sql_functions(spark):
     assert [tuple(r) for r in rows] == [("s", 0, "/start/1/end/2", "x"), ("s", 1, "/start/1/end/2", "x")]
     row = spark.sql("SELECT tv_tag_map(meta).tags AS t, size(tv_segments(page).containers) AS n, tv_snippets(page).snippets AS s FROM raw").first()
     assert (row["t"], row["n"], row["s"]) == ({"a": ["1"]}, 2, ["x", "x"])
+
+
+def test_identifiers_are_decided_without_content(spark, tmp_path, plan_of):
+    pages(spark, ("a", "1"), ("b", "2")).write.parquet(str(tmp_path / "raw"))
+    batch = stream.raw_stream(spark, str(tmp_path / "raw"))
+    plan = []
+    query = batch.writeStream.foreachBatch(lambda df, _: plan.append(plan_of(stream.chosen_documents(stream.staged(df, "arrived"), None))))
+    query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert "ReadSchema: struct<identifier" in plan[0] and "content" not in plan[0]
