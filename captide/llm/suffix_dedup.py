@@ -11,7 +11,7 @@ its n suffixes, are sorted and compared.
    task's groups, the suffixes at places 1 and 2 modulo 3 are sorted by their triples, by recursion on the names of
    the triples where these are not unique; the remaining suffixes are sorted by their first byte and the rank that
    follows, and merged in. Windows with equal bytes are then neighbours, and each is compared with the adjacent one.
-3. Groups of more than ``GROUP`` members are settled by an aggregate over window hashes instead, so no group meets in
+3. Groups of more than ``GROUP`` different stretches are settled by an aggregate over window hashes instead, so no group meets in
    one task. Windows of repeated places become spans, and the spans of a document are cut out.
 
 Hashes are two independent 64-bit ones. Why not all suffixes of the corpus are sorted is said in the README, with figures.
@@ -265,7 +265,8 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     """``doc_id, body, start, end``: spans, overlapping or not, that cover what is repeated in ``texts``."""
     found = anchors(texts)
     stretches = found.groupBy("gram", "s1", "s2").agg(F.count("*").alias("n"))
-    groups = stretches.groupBy("gram").agg(F.sum("n").alias("total"), F.min("n").alias("least")).where("total > 1")
+    groups = stretches.groupBy("gram").agg(F.sum("n").alias("copies"), F.count("*").alias("total"), F.min("n").alias("least"))
+    groups = groups.where("copies > 1").drop("copies")
     known = stretches.join(groups, "gram").select("gram", "s1", "s2", "n", "total", "least")
     matched = staged(found.join(known, ["gram", "s1", "s2"]).select("doc_id", "body", "first", "last", "gram", "n", "total", "least"), "anchors")
     whole = matched.where("n > 1").select("doc_id", "body", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end"))
@@ -295,7 +296,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, body bigint, gram bigint, total bigint, done boolean, first bigint, stretch binary"
-    members = staged(rows.mapInArrow(cut, schema), "stretches")
+    cut_out = staged(rows.mapInArrow(cut, schema), "stretches")
+    # Of a stretch that is done, one copy is enough for the others of its group to be compared with.
+    nothing = [F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("bigint").alias("body")]
+    witnesses = cut_out.where("done").select("gram", "total", "stretch").distinct()
+    witnesses = witnesses.select(*nothing, "gram", "total", F.lit(True).alias("done"), F.lit(0).cast("bigint").alias("first"), "stretch")
+    members = cut_out.where("NOT done").union(witnesses)
     spans = whole.union(_settled(members.where(F.col("total") <= GROUP)))
     large = members.where(F.col("total") > GROUP)
     return spans if large.isEmpty() else spans.union(_settled_apart(large))
