@@ -147,7 +147,7 @@ def write_tokens(
         row = {"file": f"tokens-{part:06d}.dac", "part": part, "n_docs": len(doc_ids), "n_ids": total}
         yield pa.RecordBatch.from_pylist([row], pa.schema([("file", pa.string()), ("part", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]))
 
-    ordered = texts.repartitionByRange(files, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = texts.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
     manifest = staged(ordered.mapInArrow(write, "file string, part bigint, n_docs bigint, n_ids bigint"), "token-manifest")
     # One row per file: a window over them all is small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
