@@ -79,7 +79,7 @@ def op7_ngram_join(spark, sf_dir):
 
 @query
 def op8_line_dedup(spark, sf_dir):
-    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), every_line=True)
     return cut.select("doc_id", "text", F.col("lines.total").alias("n_lines"), F.col("lines.removed").alias("n_removed"))
 
 
