@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from captide.llm import quality
+from captide.llm import hard_negatives, quality, substring_dedup
 
 _MEASURES = ", ".join(f"({m!r}, {m}, {slack}::BIGINT)" for m, slack in quality.SLACK.items())
 
@@ -96,3 +96,57 @@ WITH parts AS (
 SELECT page_id, host, path, named.rule, coalesce(named.verdict, matched.verdict, 'allow') AS verdict
 FROM located LEFT JOIN named USING (r) LEFT JOIN matched USING (r)
 """
+
+# Hard negatives by brute force: every anchor scored against every row.
+NEGATIVES_SQL = rf"""
+WITH clean AS (
+  SELECT vec_id,
+    CASE WHEN vec_id % {hard_negatives.RELABEL_EVERY} = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, v.vec_id, v.label,
+    coalesce(list_sum(list_transform(list_zip(a.q, v.q), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
+  FROM clean a JOIN clean v ON a.vec_id % {hard_negatives.ANCHOR_EVERY} = 0 AND v.vec_id <> a.vec_id
+), positives AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {hard_negatives.POSITIVES}
+), negatives AS (
+  SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> p.anchor_label
+  WHERE {hard_negatives.LOW_PERCENT} * p.positive_score <= 100 * n.score AND 100 * n.score <= {hard_negatives.HIGH_PERCENT} * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank
+  FROM negatives
+) WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
+# Substring dedup by brute force: every window looked up among the windows of smaller documents.
+SUBSTRING_SQL = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, i, w[i:i + {substring_dedup.WINDOW - 1}] AS seq
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - {substring_dedup.WINDOW - 2})) AS i FROM docs WHERE len(w) >= {substring_dedup.WINDOW})
+), firsts AS (
+  SELECT seq, min(doc_id) AS first FROM windows GROUP BY seq
+), hit AS (
+  SELECT DISTINCT w.r, unnest(range(w.i, w.i + {substring_dedup.WINDOW})) AS p
+  FROM windows w JOIN firsts f ON f.seq = w.seq WHERE f.first < w.doc_id
+), flagged AS (
+  SELECT d.r, d.doc_id, len(d.w)::BIGINT AS n_words,
+    count(h.p)::BIGINT AS n_removed
+  FROM docs d LEFT JOIN hit h ON h.r = d.r GROUP BY ALL
+), kept AS (
+  SELECT d.r, string_agg(word, ' ' ORDER BY p) AS kept
+  FROM (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs) d
+  WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.r = d.r AND h.p = d.p) GROUP BY d.r
+)
+SELECT f.doc_id, f.n_words, f.n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM flagged f LEFT JOIN kept k USING (r)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from captide.llm import decontaminate, html_extract, line_dedup, ngram_join, oracles, packing, quality, suffix_dedup, token_counts, token_store, url_filter
+from captide.llm import conversation_repair, decontaminate, hard_negatives, html_extract, line_dedup, ngram_join, oracles, packing, quality, substring_dedup, suffix_dedup, token_counts, token_store, url_filter
 from captide.llm.common import query_registry, table
 from captide.session import shared_folder
 
@@ -101,3 +101,24 @@ def op4_suffix_dedup(spark, sf_dir):
     return rows.select(
         "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_hard_negatives"] = oracles.NEGATIVES_SQL
+
+
+@query
+def op13_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_substring_dedup"] = oracles.SUBSTRING_SQL
