@@ -205,11 +205,10 @@ def source_pairs(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document: ``doc_id, n_words, n_removed, kept_sha256``; see the module text."""
     spark = docs.sparkSession
-    texts = staged(
-        docs.select(F.col(id_column).cast("long").alias("doc_id"), words_of(F.col(text_column).cast("string")).alias("words"))
-        .withColumn("row", F.xxhash64("doc_id", "words")),
-        "substring-words",
-    )
+    # Words are split again where they are needed: reading the input twice costs less disk than storing it.
+    texts = docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), words_of(F.col(text_column).cast("string")).alias("words")
+    ).withColumn("row", F.xxhash64("doc_id", "words"))
     pairs = staged(source_pairs(texts), "substring-pairs")
     n_words = F.size("words").cast("long")
 
