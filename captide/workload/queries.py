@@ -12,7 +12,7 @@ from captide.plans import corpus as plan
 from captide.session import shared_folder, spread, staged, tune
 from captide.sinks import corpus as sink
 from captide.sinks.documents import write_documents
-from captide.sources import archives, documents
+from captide.sources import archives, documents, split_csv
 from captide.sources import commercials as commercial_source
 from captide.sources import corpus as corpus_source
 from captide.sources import identifiers as identifier_source
@@ -124,6 +124,14 @@ def corpus_csv_roundtrip(spark, sf_dir):
     return corpus_source.read_corpus(spark, path, ["identifier", "lang", "text"])
 
 
+@query
+def corpus_csv_split(spark, sf_dir):
+    """The corpus written as plain CSV and read back by byte ranges of 64 KB, many to a file."""
+    path = shared_folder(spark, "corpus-plain")
+    sink.write_corpus(inputs.shows(spark, sf_dir).select("identifier", "lang", "text"), path, compression="none")
+    return split_csv.read_split_csv(spark, path, ["identifier", "lang", "text"], range_bytes=64 * 1024)
+
+
 @query
 def preview_projection(spark, sf_dir):
     return ordering.preview(inputs.shows(spark, sf_dir), 120, ["identifier", "text"], "doc_id")
