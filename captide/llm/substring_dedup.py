@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from captide.llm.common import staged
+from captide.session import broadcast_if_small
 
 WINDOW = 13
 SHARD_WORDS = 400_000
@@ -212,14 +213,17 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     pairs = staged(source_pairs(texts), "substring-pairs")
     n_words = F.size("words").cast("long")
 
-    sources = pairs.select(F.col("source").alias("doc_id")).distinct().join(texts, "doc_id")
+    # Ids of sources and candidates, and the spans found, are small beside the texts: measured, they are
+    # broadcast so that the texts are joined where they are read; above the bound the join shuffles.
+    source_ids, _ = broadcast_if_small(staged(pairs.select(F.col("source").alias("doc_id")).distinct(), "substring-sources"))
+    sources = texts.join(source_ids, "doc_id")
     source_words = sources.agg(F.coalesce(F.sum(n_words), F.lit(0))).first()[0]
     n_shards = max(1, -(-int(source_words) // SHARD_WORDS))
     shard_of = F.pmod(F.xxhash64("source"), F.lit(n_shards))
 
     # Candidate documents per shard; a shard needed by many documents is split into salts of bounded words.
-    needs = pairs.select("doc_id", shard_of.alias("shard")).distinct()
-    cands = needs.join(texts, "doc_id")
+    needs, _ = broadcast_if_small(staged(pairs.select("doc_id", shard_of.alias("shard")).distinct(), "substring-needs"))
+    cands = texts.join(needs, "doc_id")
     salts = cands.groupBy("shard").agg(F.sum(n_words).alias("w")).select(
         "shard", F.greatest(F.lit(1), F.ceil(F.col("w") / CANDIDATE_WORDS)).cast("int").alias("salts")
     )
@@ -235,6 +239,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .cogroup(cands.select(*(F.col(c).alias(c) for c in ("shard", "salt", "doc_id", "row", "words"))).groupBy("shard", "salt"))
         .applyInPandas(_match_shard, _SPANS)
     )
-    merged = spans.select("row", F.explode("spans").alias("span")).groupBy("row").agg(F.collect_list("span").alias("spans"))
+    merged = staged(
+        spans.select("row", F.explode("spans").alias("span")).groupBy("row").agg(F.collect_list("span").alias("spans")),
+        "substring-spans",
+    )
+    merged, _ = broadcast_if_small(merged)
     joined = texts.join(merged, "row", "left").select("doc_id", "words", n_words.alias("n_words"), "spans")
     return joined.mapInPandas(_kept, _RESULT)
