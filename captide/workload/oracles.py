@@ -89,6 +89,7 @@ ORACLES = {
     "caption_encodings": f"SELECT {_SHOW} AS identifier, 'é ü ñ ' || CAST(n_chars AS VARCHAR) AS text FROM documents",
     "corpus_csv_roundtrip": f"SELECT {_SHOW} AS identifier, lang, text FROM documents",
     "corpus_csv_split": f"SELECT {_SHOW} AS identifier, lang, text FROM documents",
+    "corpus_gzip_members": f"SELECT {_SHOW} AS identifier, lang, text FROM documents",
     "preview_projection": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 120",
     "positional_look": f"SELECT {_SHOW} AS identifier, text FROM documents ORDER BY doc_id LIMIT 1 OFFSET 1",
     "archive_listing_ids": f"SELECT {_SHOW} AS archive_id FROM documents WHERE lang = 'en'",

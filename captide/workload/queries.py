@@ -12,7 +12,7 @@ from captide.plans import corpus as plan
 from captide.session import shared_folder, spread, staged, tune
 from captide.sinks import corpus as sink
 from captide.sinks.documents import write_documents
-from captide.sources import archives, documents, split_csv
+from captide.sources import archives, documents, gzip_members, split_csv
 from captide.sources import commercials as commercial_source
 from captide.sources import corpus as corpus_source
 from captide.sources import identifiers as identifier_source
@@ -132,6 +132,15 @@ def corpus_csv_split(spark, sf_dir):
     return split_csv.read_split_csv(spark, path, ["identifier", "lang", "text"], range_bytes=64 * 1024)
 
 
+@query
+def corpus_gzip_members(spark, sf_dir):
+    """The corpus appended to gzip files batch by batch, and read back one task a member."""
+    path = shared_folder(spark, "corpus-members")
+    columns = ["identifier", "lang", "text"]
+    gzip_members.write_gzip_members(inputs.shows(spark, sf_dir), path, columns).collect()
+    return gzip_members.read_gzip_csv(spark, path, columns, range_bytes=1 << 20)
+
+
 @query
 def preview_projection(spark, sf_dir):
     return ordering.preview(inputs.shows(spark, sf_dir), 120, ["identifier", "text"], "doc_id")
