@@ -6,6 +6,9 @@ judged on the input, not on what is left.
 
 How it runs:
 
+0. **Exact copies.** Documents with equal words (two 64-bit hashes) are grouped by an aggregate of one row per
+   document; every copy after the first with at least ``WINDOW`` words is wholly covered by the first, and
+   copies take no further part (the first holds all their windows under a smaller id).
 1. **Reference shards.** Every window is hashed in SQL functions (xxhash64 of its words). A partial aggregate
    per hash keeps the smallest document holding it; windows whose hash first stands in a smaller document
    name that document as their *source*. Sources are dealt into shards of at most ``SHARD_WORDS`` words
@@ -210,9 +213,19 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), words_of(F.col(text_column).cast("string")).alias("words")
     ).withColumn("row", F.xxhash64("doc_id", "words"))
-    pairs = staged(source_pairs(texts), "substring-pairs")
     n_words = F.size("words").cast("long")
 
+    # Exact copies: a later document with the text of an earlier one (and a window at all) loses every word,
+    # and leaving it out of the window pass changes no window's smallest holder. One row per document meets.
+    body = F.struct(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b"))
+    bodies = texts.select("doc_id", "row", n_words.alias("n"), body.alias("body"))
+    firsts = bodies.groupBy("body").agg(F.min("doc_id").alias("first"))
+    copies = staged(
+        bodies.join(firsts, "body").where(F.col("doc_id") > F.col("first")).select("row", "n"), "substring-copies"
+    )
+    known, _ = broadcast_if_small(copies.select("row"))
+    pairs = staged(source_pairs(texts.join(known, "row", "left_anti")), "substring-pairs")
+
     # Ids of sources and candidates, and the spans found, are small beside the texts: measured, they are
     # broadcast so that the texts are joined where they are read; above the bound the join shuffles.
     source_ids, _ = broadcast_if_small(staged(pairs.select(F.col("source").alias("doc_id")).distinct(), "substring-sources"))
@@ -239,8 +252,12 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .cogroup(cands.select(*(F.col(c).alias(c) for c in ("shard", "salt", "doc_id", "row", "words"))).groupBy("shard", "salt"))
         .applyInPandas(_match_shard, _SPANS)
     )
+    whole = copies.where(F.col("n") >= WINDOW).select("row", F.struct(F.lit(0).cast("long").alias("s"), F.col("n").alias("e")).alias("span"))
     merged = staged(
-        spans.select("row", F.explode("spans").alias("span")).groupBy("row").agg(F.collect_list("span").alias("spans")),
+        spans.select("row", F.explode("spans").alias("span"))
+        .unionByName(whole)
+        .groupBy("row")
+        .agg(F.collect_list("span").alias("spans")),
         "substring-spans",
     )
     merged, _ = broadcast_if_small(merged)
