@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from captide.editions import Edition
 from captide.functions.identifiers import member_archive_id
 from captide.operators.commercials import shows_with_records
+from captide.sources import tar_index
 from captide.sources.files import locate
 
 _BATCH_BYTES = 16 * 1024 * 1024
 _TASK_BYTES = 64 * 1024 * 1024
 _MEMBERS = pa.schema([("name", pa.string()), ("content", pa.binary())])
-_INDEX = pa.schema([("path", pa.string()), ("name", pa.string()), ("start", pa.int64()), ("size", pa.int64())])
 
 
 def list_archives(spark: SparkSession, folder: str, pattern: str = "*.tar*") -> DataFrame:
@@ -55,21 +55,6 @@ def _stream_members(batches):
     yield from _in_batches(members(), _MEMBERS, lambda row: len(row["content"]))
 
 
-def _index_members(batches):
-    """Where each regular file of an uncompressed archive lies; contents are skipped."""
-
-    def entries():
-        for batch in batches:
-            for path in batch.column("path").to_pylist():
-                system, name = locate(path)
-                with system.open_input_file(name) as source, tarfile.open(fileobj=source, mode="r:") as archive:
-                    for member in archive:
-                        if member.isfile():
-                            yield {"path": path, "name": member.name, "start": member.offset_data, "size": member.size}
-
-    yield from _in_batches(entries(), _INDEX, lambda row: len(row["path"]) + len(row["name"]) + 16)
-
-
 def _read_ranges(batches):
     """The bytes of indexed members; neighbours in one archive share the open file."""
 
@@ -108,11 +93,12 @@ def read_members(archives: DataFrame, edition: Edition, wanted: DataFrame | None
 def read_plain_members(archives: DataFrame, edition: Edition, wanted: DataFrame | None = None) -> DataFrame:
     """As ``read_members`` for uncompressed archives, which many tasks can share.
 
-    A first pass skips from header to header and lists the members. The list is
-    reduced to the wanted shows and spread by position, so one archive that holds
-    most of the pages is read by many tasks and unwanted bytes are not read.
+    The member list is built by many tasks per archive (``tar_index``: speculative
+    headers per range, chained over range ends). It is reduced to the wanted shows and
+    spread by position, so one archive that holds most of the pages is read by many
+    tasks and unwanted bytes are not read.
     """
-    index = _one_per_task(archives).mapInArrow(_index_members, "path STRING, name STRING, start BIGINT, size BIGINT")
+    index = tar_index.index_archives(archives)
     index = index.withColumn("archive_id", member_archive_id(F.col("name"), edition))
     index = index.filter(F.col("archive_id").isNotNull())
     if wanted is not None:
