@@ -36,7 +36,6 @@ then saturated at -2^63 or 2^63 - 1; ranking and the range test use that score.
 
 from __future__ import annotations
 
-import heapq
 import math
 
 import numpy as np
@@ -141,13 +140,24 @@ def _candidates(anchor: np.ndarray, a_norm: float, threshold: int, top_length: f
     return chosen
 
 
-def _top_merge(heap: list, limit: int, items) -> None:
-    """Keep the first ``limit`` of (score desc, vec_id asc) in a min-heap of (score, -vec_id)."""
-    for item in items:
-        if len(heap) < limit:
-            heapq.heappush(heap, item)
-        elif item > heap[0]:
-            heapq.heapreplace(heap, item)
+def _first(scores: np.ndarray, ids: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``limit`` rows by score (descending), then id; ``~score`` orders without overflow."""
+    order = np.lexsort((ids, ~scores))[:limit]
+    return scores[order], ids[order]
+
+
+def _merge(best, scores, ids, limit):
+    if best is None:
+        return _first(scores, ids, limit)
+    return _first(np.concatenate([best[0], scores]), np.concatenate([best[1], ids]), limit)
+
+
+def _in_range(scores: np.ndarray, p: int) -> np.ndarray:
+    """``30 p <= 100 s <= 90 p`` for every score, exact also where 100 s leaves 64 bits."""
+    if np.abs(scores).max(initial=0) < 2**56 and abs(p) < 2**56:
+        hundred = 100 * scores
+        return (LOW_PERCENT * p <= hundred) & (hundred <= HIGH_PERCENT * p)
+    return np.array([LOW_PERCENT * p <= 100 * int(x) <= HIGH_PERCENT * p for x in scores], dtype=bool)
 
 
 def _positive_search(portion):
@@ -156,23 +166,25 @@ def _positive_search(portion):
     a_norms = np.linalg.norm(a_q.astype(np.float64), axis=1)
 
     def run(batches):
-        heaps = [[] for _ in range(len(a_id))]
+        best = [None] * len(a_id)
         for batch in batches:
             if batch.empty:
                 continue
             q, _ = _quantised(list(batch["emb"]))
             ids, labels = batch["vec_id"].to_numpy(np.int64), batch["label"].to_numpy(np.int64)
             top = float(np.linalg.norm(q.astype(np.float64), axis=1).max(initial=0.0))
+            # A bucket whose longest row cannot beat an anchor's current last positive is skipped for it.
             live = [
-                i for i, h in enumerate(heaps) if len(h) < POSITIVES or a_norms[i] * top * (1 + 1e-9) >= h[0][0]
+                i for i, b in enumerate(best) if b is None or len(b[0]) < POSITIVES or a_norms[i] * top * (1 + 1e-9) >= b[0][-1]
             ]
             if not live:
                 continue
             scores = _scores(a_q[live], q)
             for row, i in enumerate(live):
                 mask = (labels == a_label[i]) & (ids != a_id[i])
-                _top_merge(heaps[i], POSITIVES, zip(scores[row][mask].tolist(), (-ids[mask]).tolist()))
-        out = [(a_rid[i], int(-v), _long(s)) for i, h in enumerate(heaps) for s, v in h]
+                if mask.any():
+                    best[i] = _merge(best[i], scores[row][mask], ids[mask], POSITIVES)
+        out = [(a_rid[i], int(v), _long(s)) for i, b in enumerate(best) if b is not None for s, v in zip(*b)]
         yield pd.DataFrame(out, columns=["rid", "positive_id", "positive_score"]).astype("int64")
 
     return run
@@ -185,7 +197,7 @@ def _negative_search(portion):
     thresholds = [min((-(-LOW_PERCENT * p // 100) for _, p in pos if p >= 0), default=None) for pos in positives]
 
     def run(batches):
-        heaps = {(i, k): [] for i, pos in enumerate(positives) for k in range(len(pos))}
+        best = {}
         for batch in batches:
             if batch.empty:
                 continue
@@ -204,12 +216,13 @@ def _negative_search(portion):
                     continue
                 scores = _scores(a_q[i : i + 1], q[rows])[0]
                 for k, (_, p) in enumerate(positives[i]):
-                    ok = [(int(s), -int(v)) for s, v in zip(scores, ids[rows]) if LOW_PERCENT * p <= 100 * int(s) <= HIGH_PERCENT * p]
-                    _top_merge(heaps[(i, k)], NEGATIVES, ok)
+                    ok = _in_range(scores, p)
+                    if ok.any():
+                        best[(i, k)] = _merge(best.get((i, k)), scores[ok], ids[rows][ok], NEGATIVES)
         out = [
-            (a_rid[i], positives[i][k][0], _long(positives[i][k][1]), int(-v), _long(s))
-            for (i, k), h in heaps.items()
-            for s, v in h
+            (a_rid[i], positives[i][k][0], _long(positives[i][k][1]), int(v), _long(s))
+            for (i, k), b in best.items()
+            for s, v in zip(*b)
         ]
         yield pd.DataFrame(out, columns=["rid", "positive_id", "positive_score", "negative_id", "negative_score"]).astype("int64")
 
