@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from captide.sources import json_array
 from captide.sources.files import block_order
 
 # Bounds are doubles: read as integers, one fractional bound would void the record.
@@ -15,9 +16,12 @@ def read_commercials(spark: SparkSession, path: str, lines: bool = True, mode: s
     """``(archive_id, intervals, pos)``; ``pos`` orders records as they stand in the files.
 
     ``lines`` reads one record per line, which Spark can split. Without it each
-    file is one JSON array, read by a single task. A record that is no JSON of this form, such
-    as a line of an indented array, ends the read; ``mode="DROPMALFORMED"`` leaves it out.
+    file is one JSON array, read by byte ranges in many tasks (``json_array``). A record that is
+    no JSON, such as a line of an indented array read as lines, ends the read;
+    ``mode="DROPMALFORMED"`` leaves it out.
     """
+    if not lines:
+        return json_array.read_json_array(spark, path, SCHEMA, mode)
     records = spark.read.schema(SCHEMA).option("multiLine", not lines).option("mode", mode).json(path)
     return records.select(
         "archive_id",
