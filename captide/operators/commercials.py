@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from captide.editions import Edition
 from captide.functions.captions import parse_containers, timed_segments
@@ -168,3 +169,32 @@ def keep_segment_rows(segments: DataFrame, intervals: DataFrame, key: str = "arc
         F.col("i.low"), F.col("i.high")
     )
     return s.join(i, (F.col(f"s.{key}") == F.col(f"i.{key}")) & inside, "left_anti")
+
+
+def keep_segment_rows_by_sweep(segments: DataFrame, intervals: DataFrame, key: str = "archive_id") -> DataFrame:
+    """The same cut as ``keep_segment_rows``, by a sweep instead of comparing segments with intervals.
+
+    A point lies in an interval (bounds included) exactly when the largest ``high`` among the intervals
+    with ``low`` at or before it reaches it. Intervals and segments are taken together per show, sorted by
+    position (intervals first at equal positions), and a running maximum of ``high`` answers every segment's
+    start; a second sort by end answers its end. n log n per show, no product of segments and intervals.
+    Segments with a null start or end are judged on the bound they have; intervals with a null bound
+    or a null key count for nothing, as in the join.
+    """
+    columns = segments.columns
+    bounds = intervals.where(F.col(key).isNotNull() & F.col("low").isNotNull() & F.col("high").isNotNull()).select(
+        F.col(key), F.col("low").cast("double").alias("at"), F.lit(0).alias("kind"), F.col("high").cast("double").alias("high")
+    )
+
+    def covered(rows: DataFrame, point: str, flag: str) -> DataFrame:
+        placed = rows.select(*columns, *(c for c in rows.columns if c not in columns), F.col(point).cast("double").alias("at"), F.lit(1).alias("kind"))
+        together = placed.unionByName(bounds, allowMissingColumns=True)
+        reach = F.max("high").over(
+            Window.partitionBy(key).orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        swept = together.withColumn(flag, F.coalesce(reach >= F.col("at"), F.lit(False)))
+        return swept.where(F.col("kind") == 1).drop("at", "kind", "high")
+
+    starts = covered(segments, "start_ms", "start_in")
+    both = covered(starts, "end_ms", "end_in")
+    return both.where(~F.col("start_in") & ~F.col("end_in")).select(*columns)

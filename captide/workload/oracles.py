@@ -136,6 +136,7 @@ ORACLES = {
         FROM orders""",
     "commercial_cut": f"WITH {_CUT_CHAIN} SELECT archive_id, text_nc FROM cut",
     "commercial_cut_exploded": f"WITH {_CUT_CHAIN} SELECT archive_id, pos, text FROM flagged WHERE keep",
+    "commercial_cut_sweep": f"WITH {_CUT_CHAIN} SELECT archive_id, pos, text FROM flagged WHERE keep",
     "segment_quarantine": f"""
         WITH {_CUT_CHAIN}
         SELECT DISTINCT archive_id, 'cut' AS stage,

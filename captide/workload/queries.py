@@ -324,6 +324,19 @@ def commercial_cut_exploded(spark, sf_dir):
     return kept.select("archive_id", F.col("pos").cast("bigint").alias("pos"), "text")
 
 
+@query
+def commercial_cut_sweep(spark, sf_dir):
+    """As ``commercial_cut_exploded``, with the cut by a sweep over sorted bounds."""
+    pages = inputs.caption_pages(spark, sf_dir)
+    records = commercials.first_records(inputs.commercial_records(spark, sf_dir))
+    with_record = commercials.shows_with_records(pages, records)
+    segments = commercials.segment_pages(with_record, edition("2022")).select("archive_id", F.inline("segments"))
+    pairs = records.select("archive_id", F.explode("intervals").alias("pair"))
+    intervals = pairs.select("archive_id", F.get("pair", F.lit(0)).alias("low"), F.get("pair", F.lit(1)).alias("high"))
+    kept = commercials.keep_segment_rows_by_sweep(segments, intervals)
+    return kept.select("archive_id", F.col("pos").cast("bigint").alias("pos"), "text")
+
+
 @query
 def segment_quarantine(spark, sf_dir):
     pages, records = inputs.faulty_caption_pages(spark, sf_dir), inputs.commercial_records(spark, sf_dir)

@@ -179,3 +179,25 @@ def test_semi_joins(spark):
     assert sorted(r["archive_id"] for r in cut.shows_with_records(pages, records).collect()) == [
         "all", "bad", "cut", "twice", "twice",
     ]
+
+
+def test_sweep_cut_equals_the_join(spark):
+    import random
+
+    from captide.operators import commercials as C
+
+    rnd = random.Random(7)
+    segments, intervals = [], []
+    for show in ("a", "b", "c", None):
+        for k in range(60):
+            start = rnd.choice([None, rnd.randint(0, 100)])
+            end = None if start is None and rnd.random() < 0.5 else (start or 0) + rnd.randint(0, 10)
+            segments.append((show, k, start, end, f"t{k}"))
+        for _ in range(rnd.randint(0, 8)):
+            low = rnd.randint(0, 100)
+            intervals.append((show, float(low), float(low + rnd.choice([0, 1, 5, 20])) if rnd.random() > 0.1 else None))
+    seg = spark.createDataFrame(segments, "archive_id string, pos long, start_ms long, end_ms long, text string")
+    ivl = spark.createDataFrame(intervals, "archive_id string, low double, high double")
+    joined = sorted(map(tuple, C.keep_segment_rows(seg, ivl).collect()), key=repr)
+    swept = sorted(map(tuple, C.keep_segment_rows_by_sweep(seg, ivl).collect()), key=repr)
+    assert swept == joined
