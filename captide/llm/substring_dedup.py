@@ -196,11 +196,11 @@ _RESULT = T.StructType(
 
 def source_pairs(docs: DataFrame) -> DataFrame:
     """``(doc_id, source)``: documents with a window whose hash stands first in the smaller ``source``."""
-    starts = F.sequence(F.lit(0), F.size("words") - WINDOW)
-    windows = (
-        docs.where(F.size("words") >= WINDOW)
-        .select("doc_id", F.explode(F.transform(starts, lambda i: F.xxhash64(F.slice("words", i + 1, WINDOW)))).alias("h"))
-    )
+    # Each word is hashed once; a window's hash combines the 13 word hashes (longs, not strings).
+    starts = F.sequence(F.lit(1), F.size("wh") - WINDOW + 1)
+    hashed = docs.where(F.size("words") >= WINDOW).select("doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("wh"))
+    window_hash = lambda i: F.xxhash64(*(F.element_at("wh", i + k) for k in range(WINDOW)))
+    windows = hashed.select("doc_id", F.explode(F.transform(starts, window_hash)).alias("h"))
     # One shuffle by hash; the smallest holder is a running minimum over the hash's rows.
     source = F.min("doc_id").over(Window.partitionBy("h"))
     return windows.select("doc_id", source.alias("source")).where(F.col("source") < F.col("doc_id")).distinct()
