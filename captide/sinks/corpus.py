@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
+from pyspark.sql.window import Window
 
 from captide.operators.skew import HEAVY_ROWS, heavy_keys, salted
+from captide.session import staged
 
 CSV_OPTIONS = {
     "header": True,
@@ -109,3 +111,55 @@ def release_manifest(release: DataFrame) -> DataFrame:
     )
     counted = files.groupBy("edition", "file").agg(F.count("*").alias("rows"), F.max("bytes").alias("bytes"))
     return counted.select("edition", "file", "rows", "bytes").orderBy("edition", "file")
+
+
+def shard_by_bytes(df: DataFrame, max_bytes: int, key: str, edition: str = "edition") -> DataFrame:
+    """Give every row a ``shard`` within its edition so that no shard holds more than ``max_bytes``.
+
+    A row's size is the length of its JSON form (``row_bytes``). Rows are range-partitioned and sorted by
+    edition and ``key``; each task sums its rows as they come, the totals of all tasks (one row per task and
+    edition) are composed by a window into offsets, and every row learns where it starts in its edition: a
+    distributed prefix sum, no gathering. Shards are runs of ``max_bytes - largest row`` bytes of starts, so a
+    shard never passes ``max_bytes``; a row larger than ``max_bytes`` alone is an error. Shards come in key
+    order; only the last shard of an edition may be short.
+    """
+    from pyspark import TaskContext
+
+    columns = df.columns
+    sized = df.withColumn("row_bytes", F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))).cast("long"))
+    largest = sized.agg(F.coalesce(F.max("row_bytes"), F.lit(0))).first()[0]
+    if largest > max_bytes:
+        raise ValueError(f"a row of {largest} bytes does not fit a shard of {max_bytes}")
+    stride = max_bytes - largest if largest < max_bytes else max_bytes
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sized.repartitionByRange(tasks, edition, key).sortWithinPartitions(edition, key)
+    schema = T.StructType([*ordered.schema.fields, T.StructField("task", T.IntegerType()), T.StructField("before", T.LongType())])
+
+    def running(frames):
+        task, held = TaskContext.get().partitionId(), {}
+        for frame in frames:
+            groups = frame[edition].astype(object).where(frame[edition].notna(), None)
+            before = []
+            for group, size in zip(groups, frame["row_bytes"]):
+                before.append(held.get(group, 0))
+                held[group] = held.get(group, 0) + int(size)
+            yield frame.assign(task=task, before=before)
+
+    placed = staged(ordered.mapInPandas(running, schema), "release-offsets")
+    totals = placed.groupBy("task", edition).agg(F.sum("row_bytes").alias("total"))
+    earlier = Window.partitionBy(edition).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("task", edition, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    # One row per task and edition: far smaller than the rows, joined null-safe on the edition.
+    offsets = offsets.withColumnRenamed("task", "o_task").withColumnRenamed(edition, "o_edition")
+    joined = placed.join(offsets, (placed["task"] == offsets["o_task"]) & placed[edition].eqNullSafe(offsets["o_edition"]), "left")
+    start = F.col("offset") + F.col("before")
+    return joined.select(*[placed[c] for c in columns], placed["row_bytes"], F.floor(start / F.lit(stride)).cast("long").alias("shard"))
+
+
+def write_release_by_bytes(df: DataFrame, path: str, max_bytes: int, key: str, file_format: str = "parquet") -> None:
+    """One folder per edition and shard, each shard at most ``max_bytes`` of rows (see ``shard_by_bytes``)."""
+    sharded = shard_by_bytes(df, max_bytes, key).drop("row_bytes")
+    writer = sharded.repartition("edition", "shard").write.partitionBy("edition", "shard")
+    if file_format == "csv":
+        writer = writer.options(**CSV_OPTIONS).option("compression", "gzip")
+    writer.format(file_format).save(path)

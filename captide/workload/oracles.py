@@ -168,6 +168,8 @@ ORACLES = {
         FROM v""",
     "release_manifest": """
         SELECT lang AS edition, count(*) AS rows, true AS bounded, true AS sized FROM documents GROUP BY lang""",
+    "release_shard_bytes": """
+        SELECT lang AS edition, count(*) AS rows, true AS bounded, true AS ordered FROM documents GROUP BY lang""",
     "catalogue_search": """
         SELECT 'ORDER_' || CAST(o_orderkey AS VARCHAR) AS identifier FROM orders
         WHERE o_orderstatus <> 'P' AND o_orderdate >= TIMESTAMP '1998-01-01'

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from captide.editions import edition
 from captide.functions import captions, identifiers, tags, text
@@ -424,6 +425,25 @@ def release_manifest(spark, sf_dir):
     )
 
 
+@query
+def release_shard_bytes(spark, sf_dir):
+    """The corpus released in shards of at most 64 KB of rows, checked from the files read back."""
+    bound = 64 * 1024
+    path = shared_folder(spark, "release-bytes")
+    corpus = inputs.shows(spark, sf_dir).select(F.col("lang").alias("edition"), "identifier", "text")
+    sink.write_release_by_bytes(corpus, path, bound, "identifier")
+    back = spark.read.parquet(path).withColumn("edition", F.col("edition").cast("string"))
+    size = F.octet_length(F.to_json(F.struct("edition", "identifier", "text")))
+    shards = back.groupBy("edition", "shard").agg(
+        F.count("*").alias("rows"), F.sum(size).alias("bytes"), F.min("identifier").alias("first"), F.max("identifier").alias("last")
+    )
+    following = F.lead("first").over(Window.partitionBy("edition").orderBy("shard"))
+    checked = shards.withColumn("in_order", F.coalesce(F.col("last") < following, F.lit(True)))
+    return checked.groupBy("edition").agg(
+        F.sum("rows").alias("rows"), F.min(F.col("bytes") <= bound).alias("bounded"), F.min("in_order").alias("ordered")
+    )
+
+
 # --- catalogue ---------------------------------------------------------------------
 
 

@@ -174,3 +174,31 @@ def test_scratch_folders_are_new_and_shared(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = session.shared_folder(spark, "x"), session.shared_folder(spark, "x")
     assert one != two and one.startswith(base)
+
+
+def test_shards_bounded_by_bytes(spark):
+    import json as _json
+
+    import pytest as _pytest
+
+    from captide.sinks import corpus as sinks
+
+    rows = [(["en", "fr", None][i % 3], f"id{i:04d}", "x" * (i % 97)) for i in range(600)]
+    df = spark.createDataFrame(rows, "edition string, identifier string, text string").repartition(5)
+    bound = 2000
+    got = sinks.shard_by_bytes(df, bound, "identifier").collect()
+    order = lambda r: (str(r[0]), r[1])
+    assert sorted(((r["edition"], r["identifier"], r["text"]) for r in got), key=order) == sorted(rows, key=order)
+    by_shard = {}
+    for r in got:
+        size = len(_json.dumps({k: v for k, v in (("edition", r["edition"]), ("identifier", r["identifier"]), ("text", r["text"])) if v is not None}, separators=(",", ":")))
+        assert size == r["row_bytes"]
+        by_shard.setdefault((r["edition"], r["shard"]), []).append(r)
+    assert len(by_shard) > 10
+    assert all(sum(r["row_bytes"] for r in group) <= bound for group in by_shard.values())
+    for edition in ("en", "fr", None):
+        shards = sorted(k[1] for k in by_shard if k[0] == edition)
+        spans = [(min(r["identifier"] for r in by_shard[(edition, s)]), max(r["identifier"] for r in by_shard[(edition, s)])) for s in shards]
+        assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    with _pytest.raises(ValueError):
+        sinks.shard_by_bytes(df, 50, "identifier")
