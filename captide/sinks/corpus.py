@@ -113,52 +113,77 @@ def release_manifest(release: DataFrame) -> DataFrame:
     return counted.select("edition", "file", "rows", "bytes").orderBy("edition", "file")
 
 
-def shard_by_bytes(df: DataFrame, max_bytes: int, key: str, edition: str = "edition") -> DataFrame:
+def shard_by_bytes(
+    df: DataFrame, max_bytes: int, key: str, edition: str = "edition", oversized: str = "fail"
+) -> DataFrame:
     """Give every row a ``shard`` within its edition so that no shard holds more than ``max_bytes``.
 
     A row's size is the length of its JSON form (``row_bytes``). Rows are range-partitioned and sorted by
     edition and ``key``; each task sums its rows as they come, the totals of all tasks (one row per task and
     edition) are composed by a window into offsets, and every row learns where it starts in its edition: a
-    distributed prefix sum, no gathering. Shards are runs of ``max_bytes - largest row`` bytes of starts, so a
-    shard never passes ``max_bytes``; a row larger than ``max_bytes`` alone is an error. Shards come in key
-    order; only the last shard of an edition may be short.
+    distributed prefix sum, no gathering. A row of more than half of ``max_bytes`` has a shard of its own; the
+    others are summed without it, and their shards are the runs of ``max_bytes - largest of them`` bytes of
+    starts between two such rows, so that a shard never passes ``max_bytes``. Shards come in key order; their
+    numbers rise and may leave gaps.
+
+    Rows are never cut. One of more than ``max_bytes`` is an error, or with ``oversized="alone"`` the only row
+    of a shard, which is then as large as that row.
     """
     from pyspark import TaskContext
 
+    if oversized not in ("fail", "alone"):
+        raise ValueError(f"oversized must be fail or alone, not {oversized!r}")
     columns = df.columns
+    half = max_bytes // 2
     sized = df.withColumn("row_bytes", F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]))).cast("long"))
-    largest = sized.agg(F.coalesce(F.max("row_bytes"), F.lit(0))).first()[0]
-    if largest > max_bytes:
+    shared = F.max(F.when(F.col("row_bytes") <= half, F.col("row_bytes")))
+    largest, largest_shared = sized.agg(F.coalesce(F.max("row_bytes"), F.lit(0)), F.coalesce(shared, F.lit(0))).first()
+    if largest > max_bytes and oversized == "fail":
         raise ValueError(f"a row of {largest} bytes does not fit a shard of {max_bytes}")
-    stride = max_bytes - largest if largest < max_bytes else max_bytes
+    stride = max(1, max_bytes - largest_shared)
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = sized.repartitionByRange(tasks, edition, key).sortWithinPartitions(edition, key)
-    schema = T.StructType([*ordered.schema.fields, T.StructField("task", T.IntegerType()), T.StructField("before", T.LongType())])
+    extra = [("task", T.IntegerType()), ("before", T.LongType()), ("alone", T.LongType())]
+    schema = T.StructType([*ordered.schema.fields, *(T.StructField(*field) for field in extra)])
 
     def running(frames):
+        # Of each edition in this task: the bytes of rows that share shards, and the number of the others.
         task, held = TaskContext.get().partitionId(), {}
         for frame in frames:
             groups = frame[edition].astype(object).where(frame[edition].notna(), None)
-            before = []
+            before, alone = [], []
             for group, size in zip(groups, frame["row_bytes"]):
-                before.append(held.get(group, 0))
-                held[group] = held.get(group, 0) + int(size)
-            yield frame.assign(task=task, before=before)
+                total, large = held.get(group, (0, 0))
+                before.append(total)
+                alone.append(large)
+                held[group] = (total, large + 1) if size > half else (total + int(size), large)
+            yield frame.assign(task=task, before=before, alone=alone)
 
     placed = staged(ordered.mapInPandas(running, schema), "release-offsets")
-    totals = placed.groupBy("task", edition).agg(F.sum("row_bytes").alias("total"))
+    is_large = F.col("row_bytes") > half
+    totals = placed.groupBy("task", edition).agg(
+        F.sum(F.when(~is_large, F.col("row_bytes")).otherwise(0)).alias("total"), F.count_if(is_large).alias("large")
+    )
     earlier = Window.partitionBy(edition).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("task", edition, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("offset"))
+    offsets = totals.select(
+        F.col("task").alias("o_task"),
+        F.col(edition).alias("o_edition"),
+        F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("o_bytes"),
+        F.coalesce(F.sum("large").over(earlier), F.lit(0)).alias("o_large"),
+    )
     # One row per task and edition: far smaller than the rows, joined null-safe on the edition.
-    offsets = offsets.withColumnRenamed("task", "o_task").withColumnRenamed(edition, "o_edition")
     joined = placed.join(offsets, (placed["task"] == offsets["o_task"]) & placed[edition].eqNullSafe(offsets["o_edition"]), "left")
-    start = F.col("offset") + F.col("before")
-    return joined.select(*[placed[c] for c in columns], placed["row_bytes"], F.floor(start / F.lit(stride)).cast("long").alias("shard"))
+    run = F.floor((F.col("o_bytes") + F.col("before")) / F.lit(stride))
+    # Each large row is a shard, and ends the one before it.
+    shard = run + 2 * (F.col("o_large") + F.col("alone")) + is_large.cast("int")
+    return joined.select(*[placed[c] for c in columns], placed["row_bytes"], shard.cast("long").alias("shard"))
 
 
-def write_release_by_bytes(df: DataFrame, path: str, max_bytes: int, key: str, file_format: str = "parquet") -> None:
+def write_release_by_bytes(
+    df: DataFrame, path: str, max_bytes: int, key: str, file_format: str = "parquet", oversized: str = "fail"
+) -> None:
     """One folder per edition and shard, each shard at most ``max_bytes`` of rows (see ``shard_by_bytes``)."""
-    sharded = shard_by_bytes(df, max_bytes, key).drop("row_bytes")
+    sharded = shard_by_bytes(df, max_bytes, key, oversized=oversized).drop("row_bytes")
     writer = sharded.repartition("edition", "shard").write.partitionBy("edition", "shard")
     if file_format == "csv":
         writer = writer.options(**CSV_OPTIONS).option("compression", "gzip")

@@ -427,11 +427,11 @@ def release_manifest(spark, sf_dir):
 
 @query
 def release_shard_bytes(spark, sf_dir):
-    """The corpus released in shards of at most 64 KB of rows, checked from the files read back."""
+    """The corpus released in shards of at most 64 KB of rows, or one larger row, checked from the files read back."""
     bound = 64 * 1024
     path = shared_folder(spark, "release-bytes")
     corpus = inputs.shows(spark, sf_dir).select(F.col("lang").alias("edition"), "identifier", "text")
-    sink.write_release_by_bytes(corpus, path, bound, "identifier")
+    sink.write_release_by_bytes(corpus, path, bound, "identifier", oversized="alone")
     back = spark.read.parquet(path).withColumn("edition", F.col("edition").cast("string"))
     size = F.octet_length(F.to_json(F.struct("edition", "identifier", "text")))
     shards = back.groupBy("edition", "shard").agg(
@@ -439,8 +439,9 @@ def release_shard_bytes(spark, sf_dir):
     )
     following = F.lead("first").over(Window.partitionBy("edition").orderBy("shard"))
     checked = shards.withColumn("in_order", F.coalesce(F.col("last") < following, F.lit(True)))
+    bounded = (F.col("bytes") <= bound) | (F.col("rows") == 1)
     return checked.groupBy("edition").agg(
-        F.sum("rows").alias("rows"), F.min(F.col("bytes") <= bound).alias("bounded"), F.min("in_order").alias("ordered")
+        F.sum("rows").alias("rows"), F.min(bounded).alias("bounded"), F.min("in_order").alias("ordered")
     )
 
 

@@ -202,3 +202,25 @@ def test_shards_bounded_by_bytes(spark):
         assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
     with _pytest.raises(ValueError):
         sinks.shard_by_bytes(df, 50, "identifier")
+
+
+@pytest.mark.parametrize("largest", [2000, 9000])
+def test_shards_of_rows_about_as_large_as_the_bound(spark, tmp_path, largest):
+    bound = 2000
+    fill = lambda size, i: "x" * (size - len(f'{{"edition":"en","identifier":"id{i:04d}","text":""}}'))
+    sizes = [largest if i in (0, 7, 8, 79) else 60 + i * 37 % 1400 for i in range(80)]
+    rows = [("en", f"id{i:04d}", fill(size, i)) for i, size in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "edition string, identifier string, text string").repartition(5)
+    path = str(tmp_path / "release")
+    sink.write_release_by_bytes(df, path, bound, "identifier", oversized="alone")
+    shards = {}
+    for r in spark.read.parquet(path).collect():
+        shards.setdefault(r.shard, []).append((r.identifier, sizes[int(r.identifier[2:])]))
+    assert sorted(i for rows in shards.values() for i, _ in rows) == [f"id{i:04d}" for i in range(80)]
+    assert all(len(rows) == 1 or sum(size for _, size in rows) <= bound for rows in shards.values())
+    spans = [(min(shards[s]), max(shards[s])) for s in sorted(shards)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert len(shards) < 80
+    if largest > bound:
+        with pytest.raises(ValueError):
+            sink.shard_by_bytes(df, bound, "identifier")
