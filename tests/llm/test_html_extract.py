@@ -61,3 +61,30 @@ def test_pages_give_their_documents(spark):
     assert len(got) == 250
     for row in got:
         assert squeeze(row.text.split("\n", 1)[1]) in documents and row.n_chars == len(row.text)
+
+
+def test_classes_are_ordered_nested_and_told_apart_by_slots():
+    classes = {t: (1, rank, 3, 9) for rank, t in enumerate((10, 11, 12))} | {20: (2, 0, 2, 8), 21: (2, 1, 2, 8)}
+    assert html_extract.out_of_order([10, 5, 11, 12, 10, 11, 5, 12], classes) == set()
+    assert html_extract.out_of_order([11, 12, 10, 20, 21], classes) == {10}
+    crossed = lambda tokens: [pair for *_, pairs in html_extract.walk(tokens, classes) for pair in pairs]
+    assert crossed([10, 20, 21, 11, 20, 21, 12]) == [] and crossed([10, 20, 11, 21, 12]) == [(1, 2)]
+    first, second, third, outside = (html_extract.roles(x, classes)[x.index(5)] for x in ([10, 5, 11, 12], [10, 11, 5, 12], [10, 20, 5, 21, 11, 12], [10, 11, 12, 5]))
+    assert len({first, second, third, outside}) == 4 and outside == 5
+
+
+def test_template_takes_only_classes_in_order(spark):
+    # "Topic" and "Place" stand on all pages, in either order; "Note" stands once in the frame and as often as it likes in the text.
+    def body(i):
+        moved = ["<p>Topic</p>", "<p>Place</p>"][:: 1 if i % 2 else -1]
+        return f"<p>Note</p><hr><p>first {i}</p>{moved[0]}<p>then {i}</p>{moved[1]}" + "<p>Note</p>" * (i % 3)
+
+    pages = [(i, f"http://h.example/{i}", f"<body><h2>Welcome</h2>{body(i)}<h3>All rights</h3></body>") for i in range(9)]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text.split("\n") for r in html_extract.extract_text(frame).collect()}
+    for i in range(9):
+        moved = ["Topic", "Place"][:: 1 if i % 2 else -1]
+        # One of the two keeps the order of the class with the frame, the other is text.
+        left = [x for x in got[i] if x in moved]
+        assert len(left) == 1 and left == [x for x in got[0] if x in moved]
+        assert [x for x in got[i] if x not in moved] == [f"first {i}", f"then {i}"] + ["Note"] * (i % 3)
