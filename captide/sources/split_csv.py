@@ -28,11 +28,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import is_remote
 from pyspark.sql.window import Window
 
 from captide.sources.files import block_order, locate
 
 RANGE_BYTES = 32 * 1024 * 1024
+TASKS_PER_CORE = 3
 _READ_AHEAD = 1024 * 1024
 QUOTE, NEWLINE = ord('"'), ord("\n")
 
@@ -113,8 +115,8 @@ def _rows(columns: list[str], mode: str, encoding: str):
 
     def run(frames):
         for frame in frames:
-            out = []
             for path, start, end, size, inside in zip(frame["path"], frame["start"], frame["end"], frame["size"], frame["inside"]):
+                out = []
                 with _open(path) as f:
                     data = own_records(f, int(start), int(end), int(size), bool(inside))
                 records = csv.reader(io.StringIO(data.decode(encoding), newline=""), doublequote=True, strict=False)
@@ -126,7 +128,7 @@ def _rows(columns: list[str], mode: str, encoding: str):
                             raise ValueError(f"{path}: a record of {len(cells)} cells, {width} expected")
                         continue
                     out.append([c if c != "" else None for c in cells])
-            yield pd.DataFrame(out, columns=columns, dtype=object)
+                yield pd.DataFrame(out, columns=columns, dtype=object)
 
     return run
 
@@ -154,9 +156,12 @@ def read_split_csv(
         (F.col("index") * range_bytes).alias("start"),
         F.least(F.col("size"), (F.col("index") + 1) * range_bytes).alias("end"),
     )
-    # One range a task in both passes: a range is the bounded unit of work. The rows are tiny, so only an
-    # explicit count keeps adaptive execution from folding all ranges into one task.
-    n = max(1, ranges.count())
+    # A range is the bounded unit of work; a task takes ranges of RANGE_BYTES together, one after the other, so
+    # small ranges do not cost a task each. Small inputs are dealt to a few tasks a core. The rows are tiny, so
+    # only an explicit count keeps adaptive execution from folding all ranges into one task.
+    count, total = ranges.agg(F.count("*"), F.coalesce(F.sum(F.col("end") - F.col("start")), F.lit(0))).first()
+    few = int(spark.conf.get("spark.sql.shuffle.partitions")) if is_remote() else TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    n = max(1, min(count, max(few, -(-total // RANGE_BYTES))))
     ranges = ranges.repartitionByRange(n, "path", "index")
     parity_schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("index", T.IntegerType()), T.StructField("parity", T.IntegerType())])
     parities = ranges.select("path", "index", "start", "end").mapInPandas(_parities, parity_schema)

@@ -62,3 +62,11 @@ def test_wrong_cell_counts(spark, tmp_path):
     assert sorted(map(tuple, kept.collect())) == [("1", "2"), ("4", "5")]
     with pytest.raises(Exception):
         split_csv.read_split_csv(spark, str(tmp_path / "w"), ["x", "y"]).collect()
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    rows = [(str(i), "en", "line\n" * 50 + "end") for i in range(2000)]
+    path = _write(spark, tmp_path, rows)
+    split = split_csv.read_split_csv(spark, path, ["identifier", "lang", "text"], range_bytes=1024)
+    assert 8 < split.rdd.getNumPartitions() <= 64
+    assert sorted(map(tuple, split.collect())) == sorted((i, lang, text) for i, lang, text in rows)
