@@ -121,10 +121,10 @@ def shard_by_bytes(
     A row's size is the length of its JSON form (``row_bytes``). Rows are range-partitioned and sorted by
     edition and ``key``; each task sums its rows as they come, the totals of all tasks (one row per task and
     edition) are composed by a window into offsets, and every row learns where it starts in its edition: a
-    distributed prefix sum, no gathering. A row of more than half of ``max_bytes`` has a shard of its own; the
-    others are summed without it, and their shards are the runs of ``max_bytes - largest of them`` bytes of
-    starts between two such rows, so that a shard never passes ``max_bytes``. Shards come in key order; their
-    numbers rise and may leave gaps.
+    distributed prefix sum, no gathering. Shards are runs of ``max_bytes - largest row`` bytes of starts, so a
+    shard never passes ``max_bytes``. If that leaves nothing, each row of more than half of ``max_bytes`` has a
+    shard of its own; the others are summed without it, and cut into runs between two such rows. Shards come in
+    key order; their numbers rise and may leave gaps.
 
     Rows are never cut. One of more than ``max_bytes`` is an error, or with ``oversized="alone"`` the only row
     of a shard, which is then as large as that row.
@@ -140,7 +140,8 @@ def shard_by_bytes(
     largest, largest_shared = sized.agg(F.coalesce(F.max("row_bytes"), F.lit(0)), F.coalesce(shared, F.lit(0))).first()
     if largest > max_bytes and oversized == "fail":
         raise ValueError(f"a row of {largest} bytes does not fit a shard of {max_bytes}")
-    stride = max(1, max_bytes - largest_shared)
+    shares = largest if largest < max_bytes else half
+    stride = max(1, max_bytes - (largest if largest < max_bytes else largest_shared))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = sized.repartitionByRange(tasks, edition, key).sortWithinPartitions(edition, key)
     extra = [("task", T.IntegerType()), ("before", T.LongType()), ("alone", T.LongType())]
@@ -156,11 +157,11 @@ def shard_by_bytes(
                 total, large = held.get(group, (0, 0))
                 before.append(total)
                 alone.append(large)
-                held[group] = (total, large + 1) if size > half else (total + int(size), large)
+                held[group] = (total, large + 1) if size > shares else (total + int(size), large)
             yield frame.assign(task=task, before=before, alone=alone)
 
     placed = staged(ordered.mapInPandas(running, schema), "release-offsets")
-    is_large = F.col("row_bytes") > half
+    is_large = F.col("row_bytes") > shares
     totals = placed.groupBy("task", edition).agg(
         F.sum(F.when(~is_large, F.col("row_bytes")).otherwise(0)).alias("total"), F.count_if(is_large).alias("large")
     )
