@@ -37,21 +37,29 @@ RANK_BITS = 512
 TEXT_BYTES_PER_FILE = 16 * 1024 * 1024
 
 
+def encoded(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray):
+    """Yields the bytes of one file in order, as buffers; never holds more than one level."""
+    n_levels = max(1, -(-int(ids.max()).bit_length() // CHUNK_BITS)) if len(ids) else 1
+    yield MAGIC + struct.pack("<IQQ", n_levels, len(doc_ids), len(ids))
+    rest = ids
+    for level in range(n_levels):
+        more = rest >= 1 << CHUNK_BITS
+        yield struct.pack("<Q", len(rest))
+        yield rest.astype(np.uint8)
+        yield np.packbits(more, bitorder="little")
+        # A block counts to RANK_BITS at most; the sum casts all its items to the type.
+        blocks = np.add.reduceat(more, np.arange(0, len(more), RANK_BITS), dtype=np.uint16) if len(more) else np.empty(0, np.uint16)
+        yield np.concatenate(([0], np.cumsum(blocks, dtype=np.uint64)[:-1])).astype("<u8") if len(blocks) else blocks.astype("<u8")
+        if level + 1 < n_levels:
+            rest = rest[more]
+            rest >>= CHUNK_BITS
+    yield doc_ids.astype("<i8")
+    yield ends.astype("<u8")
+
+
 def encode(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray) -> bytes:
     """The bytes of one file."""
-    levels, rest = [], ids.astype(np.uint32)
-    while True:
-        more = rest >= 1 << CHUNK_BITS
-        bitmap = np.packbits(more, bitorder="little")
-        blocks = np.add.reduceat(more, np.arange(0, len(more), RANK_BITS), dtype=np.uint64) if len(more) else np.empty(0, np.uint64)
-        directory = np.concatenate(([0], np.cumsum(blocks)[:-1])).astype("<u8") if len(blocks) else blocks.astype("<u8")
-        chunks = (rest & ((1 << CHUNK_BITS) - 1)).astype(np.uint8)
-        levels.append(struct.pack("<Q", len(chunks)) + chunks.tobytes() + bitmap.tobytes() + directory.tobytes())
-        if not more.any():
-            break
-        rest = rest[more] >> CHUNK_BITS
-    head = MAGIC + struct.pack("<IQQ", len(levels), len(doc_ids), len(ids))
-    return head + b"".join(levels) + doc_ids.astype("<i8").tobytes() + ends.astype("<u8").tobytes()
+    return b"".join(bytes(part) for part in encoded(ids, doc_ids, ends))
 
 
 class TokenFile:
@@ -124,23 +132,24 @@ def write_tokens(
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches):
-        worker, parts, doc_ids, ends, total = encoder(tokenizer), [], [], [], 0
+        worker, held, doc_ids, ends, total = encoder(tokenizer), bytearray(), [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = worker.ids(text or "") + end
                 total += len(ids) // 4
-                parts.append(ids)
+                held += ids
                 doc_ids.append(doc_id)
                 ends.append(total)
         if not doc_ids:
             return
         part = TaskContext.get().partitionId()
-        data = encode(np.frombuffer(b"".join(parts), "<u4"), np.array(doc_ids, np.int64), np.array(ends, np.uint64))
+        parts = encoded(np.frombuffer(held, "<u4"), np.array(doc_ids, np.int64), np.array(ends, np.uint64))
         store, path = locate(folder)
         store.create_dir(path, recursive=True)
         name, own = f"{path}/tokens-{part:06d}.dac", f"{path}/.{part:06d}-{uuid.uuid4().hex}"
         with store.open_output_stream(own) as out:
-            out.write(data)
+            for some in parts:
+                out.write(some)
         if not isinstance(store, fs.LocalFileSystem) and store.get_file_info(name).type != fs.FileType.NotFound:
             store.delete_file(name)
         store.move(own, name)

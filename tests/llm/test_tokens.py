@@ -145,3 +145,22 @@ def test_any_id_is_read_alone():
         assert stored.tokens(a, b).tolist() == ids[a:b].tolist()
     assert stored.doc_ids.tolist() == [5, 9] and stored.ends.tolist() == [100, len(ids)]
     assert zlib.crc32(stored.tokens(0, 10).astype("<u4").tobytes()) == zlib.crc32(ids[:10].astype("<u4").tobytes())
+
+
+def test_a_file_is_written_without_copies_of_its_ids():
+    import tracemalloc
+
+    import numpy as np
+
+    from captide.llm import token_store
+
+    ids = (np.arange(4_000_000, dtype=np.uint32) * 2654435761) % 50_000
+    ends = np.arange(1, 5, dtype=np.uint64) * 1_000_000
+    tracemalloc.start()
+    size = sum(memoryview(part).nbytes for part in token_store.encoded(ids, np.arange(4), ends))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    stored = token_store.TokenFile(token_store.encode(ids, np.arange(4), ends))
+    assert len(stored.data) == size and peak < 2 * ids.nbytes
+    assert (stored.tokens(999_000, 1_001_000) == ids[999_000:1_001_000]).all()
+    assert [stored.token(i) for i in (0, 1, 3_999_999)] == ids[[0, 1, -1]].tolist()
