@@ -34,7 +34,7 @@ from captide.sources.files import locate
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
 RANK_BITS = 512
-TEXT_BYTES_PER_FILE = 16 * 1024 * 1024
+TEXT_BYTES_PER_FILE = 8 * 1024 * 1024
 
 
 def encoded(ids: np.ndarray, doc_ids: np.ndarray, ends: np.ndarray):

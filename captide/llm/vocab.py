@@ -11,12 +11,20 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 
 import numpy as np
 
 # The characters that Unicode calls white space (property White_Space).
 WHITE = "\t-\r \x85\xa0  -     　"
-CACHE_UNITS = 1 << 20
+# A unit takes about 200 bytes of a worker's memory, and an executor has a worker per core.
+CACHE_UNITS = 1 << 19
+# Units that are new to a worker are kept from their second time on: most come once. SEEN bytes remember the first.
+SEEN = 1 << 23
+# Plain words: letters of one normal form each, with at most one punctuation mark behind them.
+LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
+POINTS = ".,;:!?"
+_WORD = re.compile(f"([{LETTERS}]+)([{POINTS}]?)").fullmatch
 
 
 def _split(text: str) -> list[bytes]:
@@ -35,6 +43,8 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space = self.tokenizer.normalizer is None
+        self.letters, self.points = self._plain()
+        self.seen = bytearray(SEEN)
         self.cache: dict[str | bytes, bytes] = {}
         self.lengths: dict[str | bytes, int] = {}
         # Without white space, units are cut at ASCII white space, on which the library and Python agree.
@@ -44,22 +54,65 @@ class UnitEncoder:
         texts = units if self.keeps_space else [unit.decode() for unit in units]
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _packed(self, units: list) -> list[bytes]:
+        """The ids of each unit, packed."""
+        return [np.array(ids, dtype="<u4").tobytes() for ids in self._encode(units)]
+
+    def _plain(self) -> tuple[dict | None, dict]:
+        """What the library makes of each letter before its model, and the ids of each point; no letters if they do not part so.
+
+        Then the model alone gives the ids of a plain word, without the cost of a whole call.
+        """
+        if self.keeps_space or self.tokenizer.pre_tokenizer is None:
+            return None, {}
+
+        def parts(text: str) -> list[str]:
+            return [part for part, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))]
+
+        letters = {ord(c): "".join(parts(c)) for c in LETTERS}
+        for point in POINTS:
+            if parts(LETTERS + point) != [LETTERS.translate(letters), *parts(point)]:
+                return None, {}
+        added = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()}
+        if any(_WORD(token) for token in added):
+            return None, {}
+        return letters, dict(zip(POINTS, self._packed(list(POINTS.encode()[i : i + 1] for i in range(len(POINTS)))))) | {"": b""}
+
+    def encoded(self, units: list) -> dict:
+        """The ids of different units, packed."""
+        if self.letters is None:
+            return dict(zip(units, self._packed(units)))
+        known, apart, tokenize = {}, [], self.tokenizer.model.tokenize
+        for unit in units:
+            word = _WORD(unit.decode())
+            if word:
+                letters, point = word.groups()
+                ids = [token.id for token in tokenize(letters.translate(self.letters))]
+                known[unit] = struct.pack(f"<{len(ids)}I", *ids) + self.points[point]
+            else:
+                apart.append(unit)
+        if apart:
+            known.update(zip(apart, self._packed(apart)))
+        return known
+
     def ids(self, text: str) -> bytes:
         """The ids of a text, packed as little-endian unsigned 32-bit integers."""
-        cache = self.cache
+        cache, seen = self.cache, self.seen
         units = self.units(text)
-        try:
-            return b"".join([cache[unit] for unit in units])
-        except KeyError:
-            pass
-        missing = list(dict.fromkeys(unit for unit in units if unit not in cache))
-        if missing:
-            if len(cache) + len(missing) > CACHE_UNITS:
-                cache.clear()
-                missing = list(dict.fromkeys(units))
-            for unit, ids in zip(missing, self._encode(missing)):
-                cache[unit] = np.array(ids, dtype="<u4").tobytes()
-        return b"".join(map(cache.__getitem__, units))
+        found = list(map(cache.get, units))
+        if None in found:
+            new = self.encoded(list(dict.fromkeys([unit for unit, ids in zip(units, found) if ids is None])))
+            found = [new[unit] if ids is None else ids for unit, ids in zip(units, found)]
+            for unit, ids in new.items():
+                place = hash(unit) % SEEN
+                if not seen[place]:
+                    seen[place] = 1
+                else:
+                    if len(cache) >= CACHE_UNITS:
+                        cache.clear()
+                        seen[:] = bytes(SEEN)
+                    cache[unit] = ids
+        return b"".join(found)
 
     def count(self, text: str, frequent: dict) -> int:
         """How many ids a text has: the frequent units first, then the worker's cache, then the library."""
@@ -79,7 +132,7 @@ class UnitEncoder:
                 total += n
         missing = list(dict.fromkeys(unit for unit in rare if unit not in lengths))
         if missing:
-            if len(lengths) + len(missing) > CACHE_UNITS:
+            if len(lengths) + len(missing) > 2 * CACHE_UNITS:
                 lengths.clear()
                 missing = list(dict.fromkeys(rare))
             for unit, ids in zip(missing, self._encode(missing)):

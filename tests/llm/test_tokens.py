@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from captide.llm import packing, token_counts, token_store
+from captide.llm import packing, token_counts, token_store, vocab
 from captide.llm.vocab import WHITE, UnitEncoder
 from captide.session import shared_folder
 
@@ -164,3 +164,17 @@ def test_a_file_is_written_without_copies_of_its_ids():
     assert len(stored.data) == size and peak < 2 * ids.nbytes
     assert (stored.tokens(999_000, 1_001_000) == ids[999_000:1_001_000]).all()
     assert [stored.token(i) for i in (0, 1, 3_999_999)] == ids[[0, 1, -1]].tolist()
+
+
+def test_units_of_a_worker(monkeypatch):
+    worker = vocab.UnitEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["Straße", "ÀÉÿ", "abc.", "abc..", "don't", "a1b", "<|endoftext|>", "é\u0301", "ªµº", "İx", "日本", "x;", "?", "'s"]
+    assert worker.letters is not None
+    for word in words:
+        assert worker.encoded([word.encode()])[word.encode()] == np.array(worker.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    # A unit is kept from its second time on, and no more than the bound are.
+    monkeypatch.setattr(vocab, "CACHE_UNITS", 4)
+    assert worker.ids("once twice") and b"once" not in worker.cache
+    assert worker.ids("twice") and b"twice" in worker.cache and b"once" not in worker.cache
+    text = " ".join(f"w{i}" for i in range(50))
+    assert worker.ids(text) == worker.ids(text) and len(worker.cache) <= 4
