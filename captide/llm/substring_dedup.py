@@ -9,8 +9,8 @@ How it runs:
 0. **Exact copies.** Documents with equal words (two 64-bit hashes) are grouped by an aggregate of one row per
    document; every copy after the first with at least ``WINDOW`` words is wholly covered by the first, and
    copies take no further part (the first holds all their windows under a smaller id).
-1. **Reference shards.** Every window is hashed in SQL functions (xxhash64 of its words). A partial aggregate
-   per hash keeps the smallest document holding it; windows whose hash first stands in a smaller document
+1. **Reference shards.** Every window is hashed (64 bits, numpy over whole Arrow batches). A running minimum
+   per hash finds the smallest document holding it; windows whose hash first stands in a smaller document
    name that document as their *source*. Sources are dealt into shards of at most ``SHARD_WORDS`` words
    by a hash of their id.
 2. **Suffix automata.** A task gets one shard and the documents that need it (their candidate windows point
@@ -38,6 +38,7 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +53,9 @@ CANDIDATE_WORDS = 2_000_000
 
 SEPARATOR = r"[\x20\x09-\x0D]+"
 UNKNOWN = -(2**62)
+# So many words are hashed at once.
+PORTION = 1 << 16
+_BYTES = np.random.default_rng(13).integers(0, 1 << 64, 256, np.uint64)
 
 _SPAN = T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())])
 _SPANS = T.StructType([T.StructField("row", T.LongType()), T.StructField("spans", T.ArrayType(_SPAN))])
@@ -59,8 +63,7 @@ _SPANS = T.StructType([T.StructField("row", T.LongType()), T.StructField("spans"
 
 def words_of(text: F.Column) -> F.Column:
     """The words of a text, in order; none for a null text."""
-    parts = F.split(F.coalesce(text, F.lit("")), SEPARATOR)
-    return F.filter(parts, lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATOR), "")
 
 
 class SuffixAutomaton:
@@ -194,13 +197,69 @@ _RESULT = T.StructType(
 )
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes by a table, times the powers of an odd number by place."""
+    text = b" ".join(words) + b" "
+    if len(text) > 64 * PORTION:
+        # Very long words are told apart by a digest, so that what numpy holds stays bounded.
+        words = [w if len(w) <= 1024 else b"\0" + hashlib.sha256(w).hexdigest().encode() for w in words]
+        text = b" ".join(words) + b" "
+    data = np.frombuffer(text, np.uint8)
+    ends = np.flatnonzero(data == 32)
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    places = np.arange(len(data)) - np.repeat(starts, ends - starts + 1)
+    powers = np.cumprod(np.full(int(places.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+    return _mixed(np.add.reduceat(_BYTES[data] * powers[places], starts))
+
+
+def window_hashes(texts):
+    """Yields ``(owners, hashes)``: the hash of every window, with the number of its text, for portions of the texts."""
+
+    def portion():
+        words = word_hashes(held)
+        hashes = np.zeros(len(words) - WINDOW + 1, np.uint64)
+        for k in range(WINDOW):
+            hashes = hashes * np.uint64(0xD6E8FEB86659FD93) + words[k : k + len(hashes)]
+        owner = np.repeat(owners, sizes)
+        inside = owner[: len(hashes)] == owner[WINDOW - 1 :]
+        return owner[: len(hashes)][inside], _mixed(hashes[inside])
+
+    held, owners, sizes = [], [], []
+    for number, text in enumerate(texts):
+        words = text.split()
+        # The windows that start in a slice; windows of slices side by side that cross their border are in the earlier one.
+        for low in range(0, len(words) - WINDOW + 1, PORTION):
+            some = words[low : low + PORTION + WINDOW - 1]
+            if held and owners[-1] == number:
+                yield portion()
+                held, owners, sizes = [], [], []
+            held += some
+            owners.append(number)
+            sizes.append(len(some))
+            if len(held) >= PORTION:
+                yield portion()
+                held, owners, sizes = [], [], []
+    if held:
+        yield portion()
+
+
 def source_pairs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, source)``: documents with a window whose hash stands first in the smaller ``source``."""
-    # Each word is hashed once; a window's hash combines the 13 word hashes (longs, not strings).
-    starts = F.sequence(F.lit(1), F.size("wh") - WINDOW + 1)
-    hashed = docs.where(F.size("words") >= WINDOW).select("doc_id", F.transform("words", lambda w: F.xxhash64(w)).alias("wh"))
-    window_hash = lambda i: F.xxhash64(*(F.element_at("wh", i + k) for k in range(WINDOW)))
-    windows = hashed.select("doc_id", F.explode(F.transform(starts, window_hash)).alias("h"))
+    """``(doc_id, source)``: documents (``doc_id, text``) with a window whose hash stands first in the smaller ``source``."""
+
+    def scan(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for owners, hashes in window_hashes(text or b"" for text in texts):
+                ids = batch.column("doc_id").take(pa.array(owners))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(hashes.view(np.int64))], names=["doc_id", "h"])
+
+    windows = docs.select("doc_id", "text").mapInArrow(scan, "doc_id bigint, h bigint")
     # One shuffle by hash; the smallest holder is a running minimum over the hash's rows.
     source = F.min("doc_id").over(Window.partitionBy("h"))
     return windows.select("doc_id", source.alias("source")).where(F.col("source") < F.col("doc_id")).distinct()
@@ -210,9 +269,9 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """Per document: ``doc_id, n_words, n_removed, kept_sha256``; see the module text."""
     spark = docs.sparkSession
     # Words are split again where they are needed: reading the input twice costs less disk than storing it.
-    texts = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), words_of(F.col(text_column).cast("string")).alias("words")
-    ).withColumn("row", F.xxhash64("doc_id", "words"))
+    text = F.col(text_column).cast("string")
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"), words_of(text).alias("words"))
+    texts = texts.withColumn("row", F.xxhash64("doc_id", "words"))
     n_words = F.size("words").cast("long")
 
     # Exact copies: a later document with the text of an earlier one (and a window at all) loses every word,

@@ -61,3 +61,16 @@ def test_automaton_finds_every_window():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.remove_repeats(df).count() == 0
+
+
+def test_window_hashes(monkeypatch):
+    monkeypatch.setattr(S, "PORTION", 40)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["a", "b", "long" * 900], k=rng.choice([0, 3, 12, 13, 14, 52, 200]))).encode() for _ in range(60)]
+    texts += [texts[-1].replace(b" ", b"\x0b\t"), b"a" * 13, "x\xa0y ".encode() * 13]
+    found = [(o, h) for owners, hashes in S.window_hashes(texts) for o, h in zip(owners.tolist(), hashes.tolist())]
+    windows = [(o, tuple(w[i : i + 13])) for o, w in enumerate(t.split() for t in texts) for i in range(len(w) - 12)]
+    assert [o for o, _ in found] == [o for o, _ in windows]
+    named = {}
+    assert all(named.setdefault(w, h) == h for (_, w), (_, h) in zip(windows, found))
+    assert len(set(named.values())) == len(named)
