@@ -22,6 +22,7 @@ form, script, style or reader comment by its tag, role, class or id.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import re
@@ -39,6 +40,8 @@ SUPPORT = 0.6
 CLASS_TOKENS = 2
 SALTS = 16
 MAX_ROUNDS = 40
+# What repeats from page to page is worked out once by a worker, if it has so many characters at most.
+SHORT = 512
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -61,6 +64,11 @@ OUTSIDE = frozenset(
     "nav footer aside form script style noscript template svg math iframe object canvas audio video button select option textarea"
     " input label fieldset dialog menu head".split()
 )
+# Elements that end where the next of their kind begins.
+ENDS = {
+    "p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"),
+    "td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",),
+}
 MAIN = frozenset(["article", "main"])
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 # Words in a class or id that name what is no part of an article.
@@ -90,6 +98,15 @@ def _is_outside(tag: str, named: list[tuple[str, str]], in_main: bool) -> bool:
     return False
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """The label of an element in paths, whether its role is the main part, and whether it is outside, not in the main part and in it."""
+    named = [(m[1], m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(attributes)]
+    label = tag + "".join(f"#{n.lower()}={v}" for n, v in named if n.lower() in ("class", "id"))
+    role = any(n.lower() == "role" and v.lower() == "main" for n, v in named)
+    return label, role, _is_outside(tag, named, False), _is_outside(tag, named, True)
+
+
 def read_page(source: str) -> list[tuple[str, str | None, bool, bool]]:
     """The tags and blocks of a page in its order, as ``(path, text, in main part, outside)``; a tag has no text."""
     parts = []
@@ -134,10 +151,7 @@ def read_page(source: str) -> list[tuple[str, str | None, bool, bool]]:
             continue
         if tag in BLOCKS:
             end_block()
-        # Elements that end where the next of their kind begins.
-        ends = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p")}
-        ends |= {"td": ("td", "th", "p"), "th": ("td", "th", "p"), "option": ("option",)}
-        closed = ends.get(tag, ("p",) if tag in BLOCKS else ())
+        closed = ENDS.get(tag, ("p",) if tag in BLOCKS else ())
         while closed and any(e[0] == "p" for e in stack) and tag in BLOCKS and "p" in closed:
             depth = max(i for i, e in enumerate(stack) if e[0] == "p")
             if any(e[0] in BLOCKS for e in stack[depth + 1 :]):
@@ -145,15 +159,15 @@ def read_page(source: str) -> list[tuple[str, str | None, bool, bool]]:
             pop_to(depth)
         while stack[-1][0] in closed:
             pop_to(len(stack) - 1)
-        named = [(m[1], m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(match["attributes"] or match["attributes2"] or "")]
+        attributes = match["attributes"] or match["attributes2"] or ""
+        label, role, own, own_in_main = _element(tag, attributes) if len(attributes) <= SHORT else _element.__wrapped__(tag, attributes)
         _, path, in_main, outside = stack[-1]
-        label = tag + "".join(f"#{n.lower()}={v}" for n, v in named if n.lower() in ("class", "id"))
         path = f"{path}/{label}"
         parts.append((path, None, in_main, outside))
         if tag in VOID or (match["attributes"] or "").endswith("/") and tag not in BLOCKS:
             continue
-        starts = tag in MAIN or any(n.lower() == "role" and v.lower() == "main" for n, v in named)
-        own = _is_outside(tag, named, in_main)
+        starts = tag in MAIN or role
+        own = own_in_main if in_main else own
         if starts and not in_main and not own:
             # What stands around the main part, and may have been left open, does not reach into it.
             in_main, outside = True, False
@@ -171,8 +185,17 @@ def token(*parts: str) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def _token(*parts: str) -> int:
+    return token(*parts)
+
+
 def page_tokens(parts: list[tuple]) -> list[int]:
-    return [token(path) if text is None else token(path, text) for path, text, *_ in parts]
+    tokens = []
+    for path, text, *_ in parts:
+        named = (path,) if text is None else (path, text)
+        tokens.append((_token if sum(map(len, named)) <= SHORT else token)(*named))
+    return tokens
 
 
 def out_of_order(tokens: list[int], classes: dict[int, tuple]) -> set[int]:
@@ -221,7 +244,7 @@ def walk(tokens: list[int], classes: dict[int, tuple]):
 
 def roles(tokens: list[int], classes: dict[int, tuple]) -> list[int]:
     """The tokens of a page, those outside the classes told apart by their slots."""
-    return [token(str(t), *map(str, slot)) if slot else t for t, slot, _ in walk(tokens, classes)]
+    return [_token(str(t), *map(str, slot)) if slot else t for t, slot, _ in walk(tokens, classes)]
 
 
 def main_text(source: str, template: list[dict[int, tuple]]) -> str:

@@ -88,3 +88,14 @@ def test_template_takes_only_classes_in_order(spark):
         left = [x for x in got[i] if x in moved]
         assert len(left) == 1 and left == [x for x in got[0] if x in moved]
         assert [x for x in got[i] if x not in moved] == [f"first {i}", f"then {i}"] + ["Note"] * (i % 3)
+
+
+def test_what_repeats_is_worked_out_once():
+    page = "<article><div class='site-nav'>menu</div><div id=x>text</div>" + f"<div class='{'y ' * 400}nav'>long</div></article>"
+    first = html_extract.read_page(page)
+    assert [(text, outside) for _, text, in_main, outside in first if text] == [("menu", True), ("text", False), ("long", True)]
+    tokens, known = html_extract.page_tokens(first), html_extract._element.cache_info()
+    assert html_extract.read_page(page) == first and html_extract.page_tokens(first) == tokens
+    again = html_extract._element.cache_info()
+    assert again.misses == known.misses and again.hits == known.hits + 3
+    assert tokens == [html_extract.token(*((path,) if text is None else (path, text))) for path, text, *_ in first]
