@@ -24,6 +24,9 @@ SEEN = 1 << 23
 # Plain words: letters of one normal form each, with at most one punctuation mark behind them.
 LETTERS = "".join(c for c in map(chr, range(256)) if c.isalpha() and c not in "ªµº")
 POINTS = ".,;:!?"
+# The last word of each place is kept: other units have the same letters.
+WORDS = 1 << 16
+_FORMATS = [f"<{n}I" for n in range(16)]
 _WORD = re.compile(f"([{LETTERS}]+)([{POINTS}]?)").fullmatch
 
 
@@ -45,6 +48,7 @@ class UnitEncoder:
         self.keeps_space = self.tokenizer.normalizer is None
         self.letters, self.points = self._plain()
         self.seen = bytearray(SEEN)
+        self.words: list[tuple[str, bytes] | None] = [None] * WORDS
         self.cache: dict[str | bytes, bytes] = {}
         self.lengths: dict[str | bytes, int] = {}
         # Without white space, units are cut at ASCII white space, on which the library and Python agree.
@@ -82,13 +86,20 @@ class UnitEncoder:
         """The ids of different units, packed."""
         if self.letters is None:
             return dict(zip(units, self._packed(units)))
-        known, apart, tokenize = {}, [], self.tokenizer.model.tokenize
-        for unit in units:
-            word = _WORD(unit.decode())
+        known, apart, tokenize, points = {}, [], self.tokenizer.model.tokenize, self.points
+        found = list(map(_WORD, map(bytes.decode, units)))
+        # The words of all units are brought to their normal form at once.
+        plain = iter("\n".join([word[1] for word in found if word]).translate(self.letters).split("\n"))
+        words = self.words
+        for unit, word in zip(units, found):
             if word:
-                letters, point = word.groups()
-                ids = [token.id for token in tokenize(letters.translate(self.letters))]
-                known[unit] = struct.pack(f"<{len(ids)}I", *ids) + self.points[point]
+                letters = next(plain)
+                place = hash(letters) % WORDS
+                kept = words[place]
+                if kept is None or kept[0] != letters:
+                    ids = [token.id for token in tokenize(letters)]
+                    kept = words[place] = letters, struct.pack(_FORMATS[len(ids)] if len(ids) < 16 else f"<{len(ids)}I", *ids)
+                known[unit] = kept[1] + points[word[2]] if word[2] else kept[1]
             else:
                 apart.append(unit)
         if apart:
@@ -101,8 +112,10 @@ class UnitEncoder:
         units = self.units(text)
         found = list(map(cache.get, units))
         if None in found:
-            new = self.encoded(list(dict.fromkeys([unit for unit, ids in zip(units, found) if ids is None])))
-            found = [new[unit] if ids is None else ids for unit, ids in zip(units, found)]
+            missing = [at for at, ids in enumerate(found) if ids is None]
+            new = self.encoded(list(dict.fromkeys([units[at] for at in missing])))
+            for at in missing:
+                found[at] = new[units[at]]
             for unit, ids in new.items():
                 place = hash(unit) % SEEN
                 if not seen[place]:
