@@ -13,7 +13,6 @@ portions as there are, and documents are never shuffled.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from functools import reduce
 
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from captide.llm.common import documents_of, staged
+from captide.llm.common import WORD_HASHES, documents_of, staged
 
 WORDS = 5
 PERCENT = 80
@@ -35,21 +34,10 @@ _POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, WORD
 _FILTER_BITS = 22
 
 
-class _Words(dict):
-    def __missing__(self, word):
-        if len(self) > 1 << 20:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-        return value
-
-
-_WORDS = _Words()
-
-
 def read(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The codes of a text's words and their lengths."""
     words = _words_of((text or "").lower())
-    codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    codes = np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
     return codes, np.fromiter(map(len, words), np.int64, len(words))
 
 

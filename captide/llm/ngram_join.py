@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from captide.llm.blocks import links_in_blocks
-from captide.llm.common import documents_of, staged
+from captide.llm.common import WORD_HASHES, documents_of, staged
 from captide.llm.components import components
 
 WORDS = 5
@@ -46,26 +46,13 @@ _MASK = (1 << 64) - 1
 _POWERS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, WORDS)]
 
 
-class _Words(dict):
-    """64-bit hashes of words, kept while the worker lives, within bounds."""
-
-    def __missing__(self, word):
-        if len(self) > 1 << 20:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-_WORDS = _Words()
-
-
 def shingles(text: str | None) -> np.ndarray:
     """The sorted distinct 63-bit hashes of a text's shingles; with fewer words, of the whole sequence."""
     words = (text or "").encode().lower().split()
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, n)
+    codes = np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, n)
     if n < WORDS:
         # Its length tells a short sequence from the shingles of others.
         digest = hashlib.blake2b(b" ".join(words), digest_size=8, person=b"short").digest()
